@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, linededup, simhash, toxicity
+from . import bpe, chat, decontaminate, linededup, neighbours, simhash, tokenfile, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(_table(spark, sf_dir, "documents"))
 
@@ -24,6 +28,14 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.digest(_table(spark, sf_dir, "documents"))
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.digest(_table(spark, sf_dir, "embeddings"))
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digest(_table(spark, sf_dir, "conversations"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -32,5 +44,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op3_simhash, op4_line_dedup, op9_bpe, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_token_files, op3_simhash, op4_line_dedup, op5_nearest, op8_chat, op9_bpe, op10_toxicity)}
 ORACLE_SQL: dict[str, str] = {}
