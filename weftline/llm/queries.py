@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, linededup, neighbours, pii, simhash, tokenfile, toxicity
+from . import bpe, chat, decontaminate, language, linededup, neighbours, pii, simhash, tokenfile, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.digest(_table(spark, sf_dir, "embeddings"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "pages"))
+
+
 def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(_table(spark, sf_dir, "documents"))
 
@@ -48,5 +52,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_token_files, op3_simhash, op4_line_dedup, op5_nearest, op7_surrogates, op8_chat, op9_bpe, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_token_files, op3_simhash, op4_line_dedup, op5_nearest, op6_language, op7_surrogates, op8_chat, op9_bpe, op10_toxicity)}
 ORACLE_SQL: dict[str, str] = {}
