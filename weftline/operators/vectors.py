@@ -37,9 +37,9 @@ def _pairs(vectors: DataFrame, key: str, vector: str, by: list[str], least: floa
     def compare(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         out = {"a": [], "b": [], "cosine": []}
         if len(x) and len(y):
-            p, q = (np.stack(d["v"].to_numpy()) for d in (x, y))
+            p, q = np.stack(x["v"].to_numpy()), np.stack(y["__wl_v"].to_numpy())
             p, q = (m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300) for m in (p, q))
-            ka, kb = x["key"].to_numpy(), y["key"].to_numpy()
+            ka, kb = x["key"].to_numpy(), y["__wl_key"].to_numpy()
             for at in range(0, len(p), 512):
                 s = p[at : at + 512] @ q.T
                 good = (s >= least) & (ka[at : at + 512, None] < kb[None, :] if one_way else ka[at : at + 512, None] != kb[None, :])
@@ -53,8 +53,9 @@ def _pairs(vectors: DataFrame, key: str, vector: str, by: list[str], least: floa
         return pd.DataFrame(out)
 
     kind = dict(vectors.dtypes)[key]
-    keys = [*by, "i", "j"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, f"a {kind}, b {kind}, cosine double")
+    # Own names throughout: both sides come from one plan, and shared columns would be taken for each other.
+    right = right.select(*[F.col(c).alias(f"__wl_{c}") for c in right.columns])
+    return left.groupBy(*by, "i", "j").cogroup(right.groupBy(*[f"__wl_{c}" for c in (*by, "i", "j")])).applyInPandas(compare, f"a {kind}, b {kind}, cosine double")
 
 
 def nearest(vectors: DataFrame, key: str, vector: str, k: int = 10, least: float = -1.0, queries: DataFrame | None = None) -> DataFrame:
