@@ -1,0 +1,182 @@
+"""Neighbours, language, personal data, chat formatting and the pipeline."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from weftline.llm import chat, language, neighbours, pii
+
+# Neighbours
+
+
+def exact(ids, x, queries, k):
+    scores = neighbours.cosine(x[queries], x)
+    scores[np.arange(len(queries)), queries] = -9
+    return {int(ids[q]): [int(ids[i]) for i in np.lexsort((ids, -s))[:k]] for q, s in zip(queries, scores, strict=True)}
+
+
+def test_recall_and_rows_that_take_no_part(spark):
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((1500, 32)).astype(np.float32)
+    x[700:900] = x[700] + 0.01 * rng.standard_normal((200, 32))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    bad = [(2000, None), (2050, [0.0] * 32), (2100, [float("nan")] + [1.0] * 31), (2150, [None] + [1.0] * 31), (2200, [float("inf")] + [1.0] * 31), (None, [1.0] * 32), (2250, []), (2300, [1.0])]
+    df = spark.createDataFrame(rows + bad, "vec_id long, embedding array<float>").withColumn("bucket", F.lit(1)).withColumn("t", F.lit(2))
+    got = {}
+    for r in neighbours.digest(df).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    queries = np.arange(0, 1500, 50)
+    want = exact(np.arange(1500), x.astype(float), queries, 5)
+    assert set(got) == set(want) and all(len(v) == 5 for v in got.values())
+    assert np.mean([len({i for i, _ in got[q]} & set(want[q])) / 5 for q in want]) >= 0.9
+    for q, found in got.items():
+        assert [i for i, _ in found] == [i for i, _ in sorted(found, key=lambda p: (-p[1], p[0]))]
+        assert found[0][1] == pytest.approx(neighbours.cosine(x[[q]].astype(float), x[[found[0][0]]].astype(float))[0, 0], abs=1e-12)
+
+
+@pytest.mark.parametrize("n", [0, 1, 3])
+def test_few_vectors(spark, n):
+    df = spark.createDataFrame([(50 * i, [1.0, float(i)]) for i in range(n)], "vec_id long, embedding array<float>")
+    assert neighbours.digest(df).count() == n * max(0, n - 1)
+
+
+# Language
+
+
+def test_language_fuses_evidence(spark):
+    docs = [(i, "the cat and the dog went there with this", "en", "s") for i in range(20)] + [(100 + i, "der hund und die katze gingen nicht nach haus", "de", "s") for i in range(20)] + [(None, "x", "en", "s"), (300, None, None, None)]
+    d = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").withColumn("p", F.lit(1)).withColumn("row", F.lit(1))
+    page = lambda lang, text: f'<html lang="{lang}"><head><script>der die das nicht</script></head><body><p>{text}</p></body></html>'
+    rows = [(i, "http://www.alpha.de/x", page("de", "der hund und die katze")) for i in range(30)] + [(50 + i, "http://beta.com/x", page("en", "the cat with this dog")) for i in range(30)]
+    rows += [(200, "http://www.alpha.de/y", page("", "12345")), (201, "http://new.alpha.de/y", "<html><body></body></html>"), (202, None, None), (203, "http://beta.com", page("de", "")), (204, "", "")]
+    p = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = language.digest(d, p).collect()
+    assert len(got) == len(docs) + len(rows)
+    by = {r["page_id"]: r for r in got if r["page_id"] is not None}
+    assert by[0]["lang"] == "de" and by[50]["lang"] == "en" and by[200]["lang"] == "de" and by[201]["lang"] == "de"
+    assert by[202]["text_lang"] is None and by[202]["lang"] in ("de", "en")
+    assert by[200]["confidence"] > by[201]["confidence"] > 0.5
+    assert {r["doc_id"]: r["lang"] for r in got if r["doc_id"] in (0, 100)} == {0: "en", 100: "de"}
+    assert all(0 < r["confidence"] <= 1 for r in got)
+    empty = language.digest(d.filter("false"), p)
+    assert {r["lang"] for r in empty.collect()} == {None}
+
+
+# Personal data
+
+
+def test_surrogates_keep_type_format_and_identity(spark):
+    rows = [
+        (1, "Mail kür.34@mail7.example.com or KÜR.34@MAIL7.EXAMPLE.COM, call +1 (017) 555-7713 from 97.51.17.173."),
+        (2, 'token = "04dbebab91ab85687d33eeaaf9ac699e1188aaaa" card 4417744280351547 or 4417-7442-8035-1547, not 9807915762804490'),
+        (3, "Mr. John Smith met Mrs Smith and Г-жа Анна Петрова; ssn 123-45-6789"), (4, None), (5, ""), (6, "97.51.17.173"), (None, "nothing here"), (6, "97.51.17.173"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("entities", F.lit(1)).withColumn("e", F.lit(2)).withColumn("k", F.lit(2))
+    out = pii.replace(df, "key")
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert out.count() == len(rows)
+    for secret in ("34@mail7", "34@MAIL7", "555-7713", "97.51.17.173", "04dbebab", "441774428", "4417-7442", "Smith", "Петрова", "123-45-6789"):
+        assert all(secret not in (r["text"] or "") for r in got.values())
+    assert "9807915762804490" in got[2]["text"] and got[4]["text"] is None and got[5]["text"] == "" and got[None]["text"] == "nothing here"
+    kinds = {d: [e["kind"] for e in r["entities"]] for d, r in got.items()}
+    assert kinds[1] == ["email", "email", "phone", "ip"] and kinds[2] == ["secret", "card", "card"] and kinds[3] == ["name", "name", "name", "ssn"]
+    mail, upper, phone, ip = (e["surrogate"] for e in got[1]["entities"])
+    assert upper == mail.upper() and phone.startswith("+1 (") and len(phone) == 17 and ip == got[6]["text"]
+    plain, dashed = (e["surrogate"] for e in got[2]["entities"][1:])
+    assert dashed.replace("-", "") == plain and plain[:2] == "44"
+    digits = [int(c) for c in reversed(plain)]
+    assert sum(d if i % 2 == 0 else (d * 2 - 9 if d > 4 else d * 2) for i, d in enumerate(digits)) % 10 == 0
+    he, she, cyrillic = (e["surrogate"].split(" ") for e in got[3]["entities"][:3])
+    assert he[0] == "Mr." and he[1] in pii.GIVEN["m", "latin"] and she == ["Mrs", he[2]] and cyrillic[1] in pii.GIVEN["f", "cyrillic"]
+    assert pii.replace(df, "other").filter("doc_id = 6").first()["text"] != ip
+
+
+def test_surrogates_stay_distinct(spark, monkeypatch):
+    real = pii.surrogate_canon
+    narrow = lambda k, c, g, key, a: F.when((a == 0) & (k == "ip"), F.lit("1.1.1.1")).otherwise(real(k, c, g, key, a))
+    monkeypatch.setattr(pii, "surrogate_canon", narrow)
+    rows = [(i, f"10.0.0.{i} then 10.0.0.{i + 1} and 1.1.1.1") for i in range(1, 9)]
+    got = {r["doc_id"]: [e["surrogate"] for e in r["entities"]] for r in pii.replace(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    owner = {}
+    for i, (a, b, c) in got.items():
+        for real_ip, s in ((f"10.0.0.{i}", a), (f"10.0.0.{i + 1}", b), ("1.1.1.1", c)):
+            assert owner.setdefault(s, real_ip) == real_ip and s != real_ip
+    assert len(owner) == 10
+
+
+def test_no_python_in_the_plan(spark):
+    plan = pii.digest(spark.createDataFrame([(1, "a@b.com")], "doc_id long, text string"))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+# Chat
+
+
+def test_chat_round_trip(spark):
+    rng = random.Random(3)
+    bits = ["### a: ", " </turn>", "\\", "\\\\", "#", "<", ":", "\n", "é", "x "]
+    rows = [(c, t, rng.choice(["user", "assistant", "sy:st#em"]), "".join(rng.choices(bits, k=rng.randint(0, 8)))) for c in range(20) for t in range(rng.randint(1, 9))]
+    rows += [(50, None, None, None), (50, 1, "assistant", "b"), (50, 1, "assistant", "a"), (None, 0, "user", "q"), (None, 1, "assistant", "r")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("part", F.lit(1)).withColumn("loss", F.lit(1))
+    got = {r["conv_id"]: r for r in chat.digest(df).collect()}
+    want = {}
+    for c, t, role, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")):
+        want.setdefault(c, []).append((role or "", text or ""))
+    want[-7] = [(r, "\\### Assistant: </turn> ok") for r in ("user", "assistant")]
+    assert set(got) == set(want)
+    for c, turns in want.items():
+        said = "".join(x for r, x in turns if r == "assistant")
+        assert got[c]["n_turns"] == len(turns) and got[c]["loss_chars"] == len(said)
+        assert got[c]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{x}\n" for r, x in turns).encode()).hexdigest()
+        assert got[c]["loss_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+    assert chat.digest(df.filter("false")).count() == 1
+
+
+def test_windows_give_the_same_turns(spark):
+    df = spark.createDataFrame([(1, t, "assistant" if t % 2 else "user", f"text {t}") for t in range(23)], "conv_id long, turn long, role string, text string")
+    whole, parts = (chat.format_conversations(df, window=w).orderBy("part").collect() for w in (100, 5))
+    assert len(whole) == 1 and len(parts) == 5 and "".join(p["formatted"] for p in parts) == whole[0]["formatted"]
+
+
+class Trailer(chat.TurnTemplate):
+    def render(self, turns):
+        return super().render(turns) + "[end]"
+
+
+class Rewriting(chat.TurnTemplate):
+    def render(self, turns):
+        return ("first\n" if len(turns) < 3 else "") + super().render(turns)
+
+
+def test_black_box_templates():
+    turns = [("user", "hi"), ("assistant", " [end] a "), ("user", " </turn>"), ("assistant", " </turn>\n### x")]
+    for template, rewrites in ((chat.TurnTemplate(), False), (Trailer(), False), (Rewriting(), True)):
+        out, spans, loss, found = chat.render_turns(template, turns)
+        assert found == rewrites
+        if not rewrites:
+            assert [template.unescape(out[a:b]) for a, b in loss] == [turns[1][1], turns[3][1]]
+            assert [a for a, _ in spans][1:] == [b for _, b in spans][:-1]
+
+
+# Pipeline
+
+
+def test_pipeline_stages(spark):
+    import corpus_pipeline as pipe
+
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    before = {r["doc_id"] for r in docs.select("doc_id").collect()}
+    for at, (_, stage) in enumerate(pipe.STAGES):
+        from weftline.session import written
+
+        docs = written(stage(spark, docs, folder), "test-stage")
+        after = {r["doc_id"] for r in docs.select("doc_id").collect()}
+        assert after <= before and len(after) > 0.7 * len(before)
+        assert docs.columns == (list(pipe.COLUMNS) if at < len(pipe.STAGES) - 1 else ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        before = after
+    whole = pipe.run(spark, folder)
+    assert whole.exceptAll(docs).isEmpty() and docs.exceptAll(whole).isEmpty()

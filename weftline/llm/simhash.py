@@ -156,7 +156,9 @@ def links(distinct: DataFrame, fp_col: str = "fp") -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
-    """``(id, tie, fp, component_id)`` for each row of ``docs``.
+    """``(id, tie, fp, root, component_id)`` for each row of ``docs``.
+
+    ``root`` is a fingerprint that names the component, also where ids are not unique.
 
     ``component_id`` is the smallest id that links reach from the row, itself
     included. Null and empty texts have fingerprint 0 and are linked like any
@@ -168,15 +170,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = connected_components(links(distinct))
     joined = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "n", "least", F.coalesce("component", "fp").alias("root"), F.col("component").isNotNull().alias("linked"))
     roots = joined.filter("linked").groupBy("root").agg(F.min("least").alias("component_id"))
-    many = joined.filter("linked").select("fp", "root").join(roots, "root").select("fp", "component_id")
-    many = many.unionByName(joined.filter("NOT linked AND n > 1").select("fp", F.col("least").alias("component_id")))
-    return rows.join(many.withColumn("grouped", F.lit(True)), "fp", "left").select("id", "tie", "fp", F.when(F.col("grouped"), F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    many = joined.filter("linked").select("fp", "root").join(roots, "root").select("fp", "root", "component_id")
+    many = many.unionByName(joined.filter("NOT linked AND n > 1").select("fp", F.col("fp").alias("root"), F.col("least").alias("component_id")))
+    return rows.join(many.withColumn("grouped", F.lit(True)), "fp", "left").select("id", "tie", "fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("grouped"), F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the row with the smallest id (nulls last), then the smallest text hash; one of identical rows."""
     found = near_duplicates(docs, id_col, text_col)
-    best = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("__wl_fp")).agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "tie")).alias("b")).select(F.col("b.id").alias("__wl_id"), F.col("b.tie").alias("__wl_tie"))
+    best = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "tie")).alias("b")).select(F.col("b.id").alias("__wl_id"), F.col("b.tie").alias("__wl_tie"))
     kept = docs.withColumn("__wl_tie2", F.xxhash64(text_col)).join(best, F.col(id_col).cast("long").eqNullSafe(F.col("__wl_id")) & (F.col("__wl_tie2") == F.col("__wl_tie")), "left_semi")
     return kept.dropDuplicates([id_col, "__wl_tie2"]).drop("__wl_tie2")
 
