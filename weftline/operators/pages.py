@@ -72,4 +72,4 @@ def greedy_duplicates(candidates: DataFrame, file: str, key: str, vector: str, t
         return pd.DataFrame({key: rows[key].to_numpy(), "kept": out})
 
     kind = dict(candidates.dtypes)[key]
-    return candidates.select(file, key, vector).groupBy(F.lit(0)).applyInPandas(fold, f"{key} {kind}, kept boolean")
+    return candidates.select(file, key, vector).groupBy().applyInPandas(fold, f"{key} {kind}, kept boolean")
