@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Lower-cases A-Z, keeps 0-9, a-z and all non-ASCII bytes, and blanks the rest.
 WORD_TABLE = bytes((i + 32) if 65 <= i <= 90 else i if 48 <= i <= 57 or 97 <= i <= 122 or i >= 128 else 32 for i in range(256))
@@ -31,7 +32,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 << 20)
         if not batch.num_rows:
             continue
         text = batch.column(column)
-        sizes = np.nan_to_num(np.asarray(pa.compute.binary_length(text).to_numpy(zero_copy_only=False), dtype=float))
+        sizes = np.nan_to_num(np.asarray(pc.binary_length(text).to_numpy(zero_copy_only=False), dtype=float))
         ends = np.cumsum(sizes)
         while at < batch.num_rows:
             base = ends[at - 1] if at else 0.0
