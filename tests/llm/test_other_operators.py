@@ -95,9 +95,9 @@ def test_surrogates_keep_type_format_and_identity(spark):
 
 
 def test_surrogates_stay_distinct(spark, monkeypatch):
-    real = pii.surrogate_canon
-    narrow = lambda k, c, g, key, a: F.when((a == 0) & (k == "ip"), F.lit("1.1.1.1")).otherwise(real(k, c, g, key, a))
-    monkeypatch.setattr(pii, "surrogate_canon", narrow)
+    real = pii.surrogates
+    narrow = lambda found, key: F.zip_with(found, real(found, key), lambda d, r: F.struct(r["e"].alias("e"), r["k"].alias("k"), r["c"].alias("c"), F.when((d["a"] == 0) & (d["k"] == "ip"), F.lit("1.1.1.1")).otherwise(r["n"]).alias("n")))
+    monkeypatch.setattr(pii, "surrogates", narrow)
     rows = [(i, f"10.0.0.{i} then 10.0.0.{i + 1} and 1.1.1.1") for i in range(1, 9)]
     got = {r["doc_id"]: [e["surrogate"] for e in r["entities"]] for r in pii.replace(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
     owner = {}

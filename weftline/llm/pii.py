@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import width, written
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: Titles that tell a name, with the gender that they tell.
@@ -42,8 +42,6 @@ PATTERNS = {
     "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE})\.? \p{{Lu}}[\p{{L}}'-]++(?: \p{{Lu}}[\p{{L}}'-]++)?",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: A cheap sign without which a text has no entity.
-_SIGN = rf"[@\d]|(?:{_TITLE})\.? \p{{Lu}}|(?i:token|secret|passw|api.?key)"
 _CARD = r"^(?:4\d{12}(?:\d{3}){0,2}|5[1-5]\d{14}|2[2-7]\d{14}|3[47]\d{13}|6(?:011|5\d\d|4[4-9]\d)\d{12})$"
 
 
@@ -51,12 +49,11 @@ def _digits(e: Column) -> Column:
     return F.regexp_replace(e, r"[^0-9]", "")
 
 
-def _luhn(digits: Column) -> Column:
-    """Whether the check digit of a string of digits is right."""
-    at = F.sequence(F.lit(1), F.length(digits))
-    value = lambda i: F.substr(F.reverse(digits), i, F.lit(1)).cast("int")
+def _luhn_sum(digits: Column) -> Column:
+    """The weighted sum of a string of digits that a right check digit makes divisible by ten."""
     twice = lambda d: F.when(d * 2 > 9, d * 2 - 9).otherwise(d * 2)
-    return F.aggregate(F.transform(at, lambda i: F.when(i % 2 == 0, twice(value(i))).otherwise(value(i))), F.lit(0), lambda a, x: a + x) % 10 == 0
+    step = lambda acc, c: F.struct((acc["sum"] + F.when(acc["odd"], twice(c.cast("int"))).otherwise(c.cast("int"))).alias("sum"), (~acc["odd"]).alias("odd"))
+    return F.aggregate(F.split(F.reverse(digits), ""), F.struct(F.lit(0).alias("sum"), F.lit(False).alias("odd")), step, lambda acc: acc["sum"])
 
 
 def kind(e: Column) -> Column:
@@ -67,7 +64,7 @@ def kind(e: Column) -> Column:
         .when(e.rlike(rf"^(?:{_OCTET}\.){{3}}{_OCTET}$"), "ip")
         .when(e.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
         .when(e.rlike(r"^(?:\+|\()") | e.rlike(r"^\d{3}[.-]\d{3}[.-]\d{4}$"), "phone")
-        .when(e.rlike(r"^[\d -]+$"), F.when(digits.rlike(_CARD) & _luhn(digits), "card"))
+        .when(e.rlike(r"^[\d -]+$"), F.when(digits.rlike(_CARD) & (_luhn_sum(digits) % 10 == 0), "card"))
         .when(e.rlike(rf"^(?:{_TITLE})\.? "), "name")
         .otherwise("secret")
     )
@@ -78,12 +75,12 @@ def canonical(e: Column, k: Column) -> Column:
     return F.when(k == "email", F.lower(e)).when(k.isin("phone", "card", "ssn"), _digits(e)).when(k == "name", F.regexp_replace(e, rf"^(?:{_TITLE})\.? ", "")).otherwise(e)
 
 
-def _hash(key: Column, k: Column, canon: Column, attempt: Column) -> Column:
-    return F.sha2(F.concat_ws("|", key, k, canon, attempt.cast("string")), 256)
+def _hash(key: str, *parts: Column) -> Column:
+    return F.sha2(F.concat_ws("|", F.lit(key), *parts), 256)
 
 
-def _number(h: Column, at, size: int = 4) -> Column:
-    return F.conv(F.substr(h, at if isinstance(at, Column) else F.lit(at), F.lit(size)), 16, 10).cast("int")
+def _number(h: Column, at: int, size: int = 4) -> Column:
+    return F.conv(F.substring(h, at, size), 16, 10).cast("int")
 
 
 def _pick(words: list[str], h: Column, at: int) -> Column:
@@ -102,71 +99,92 @@ def _gender(e: Column) -> Column:
     return F.when(title.isin(*[t for t, g in TITLES.items() if g == "m"]), "m").when(title != "", "f").when(first.isin(*men), "m").otherwise("f")
 
 
-def _chars(shape: Column, make) -> Column:
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(shape)), lambda i: make(F.substr(shape, i, F.lit(1)), i)), "")
-
-
-def _new_digits(canon: Column, h: Column, keep: Column) -> Column:
-    """As many digits, all but the first ``keep`` from the hash."""
-    return _chars(canon, lambda c, i: F.when(i <= keep, c).otherwise((_number(h, i * 2, 3) % 10).cast("string")))
-
-
-def _new_card(canon: Column, h: Column) -> Column:
-    """A number of the same network and length with a right check digit."""
-    body = F.substr(_new_digits(canon, h, F.lit(2)), F.lit(1), F.length(canon) - 1)
-    fits = F.filter(F.sequence(F.lit(0), F.lit(9)), lambda d: _luhn(F.concat(body, d.cast("string"))))
-    return F.concat(body, F.element_at(fits, 1).cast("string"))
-
-
-def _part(word: Column, given: Column, gender: Column, script: Column, key: Column, attempt: Column) -> Column:
-    """A given or family name for a part of a name; a part has the same surrogate in every name of the attempt."""
-    h = F.sha2(F.concat_ws("|", key, F.lit("part"), F.lower(word), attempt.cast("string")), 256)
-    first = F.lit(None).cast("string")
-    for (g, s), names in GIVEN.items():
-        first = F.when((gender == g) & (script == s), _pick(names, h, 1)).otherwise(first)
-    last = F.lit(None).cast("string")
-    for s, some in SYLLABLES.items():
-        last = F.when(script == s, F.initcap(F.concat(*[_pick(some, h, 5 + 4 * i) for i in range(4)]))).otherwise(last)
-    return F.when(given, first).otherwise(last)
-
-
-def surrogate_canon(k: Column, canon: Column, gender: Column, key: Column, attempt: Column) -> Column:
-    """The canonical form of the surrogate of an entity."""
-    h = _hash(key, k, canon, attempt)
-    domain = F.sha2(F.concat_ws("|", key, F.lit("domain"), F.regexp_extract(canon, "@(.*)$", 1)), 256)
-    top = F.regexp_extract(canon, r"\.(com|net|org)$", 1)
-    letters = F.translate(F.substr(h, F.lit(1), F.lit(12)), "0123456789", "ghijklmnop")
-    mail = F.concat(letters, F.lit("."), F.lpad((_number(h, 13) % 100).cast("string"), 2, "0"), F.lit("@m"), F.substr(domain, F.lit(1), F.lit(6)), F.lit(".example."), F.when(top != "", top).otherwise("org"))
-    address = F.concat_ws(".", (_number(h, 1) % 223 + 1).cast("string"), *[(_number(h, 5 + 4 * i) % 254 + 1).cast("string") for i in range(3)])
-    spread = F.concat(h, F.sha2(h, 256))
-    cased = lambda c, i: F.substr(F.lit("abcdef"), _number(spread, (i - 1) % 120 + 1) % 6 + 1, F.lit(1))
-    secret = _chars(canon, lambda c, i: F.when(c.rlike("[0-9]"), (_number(spread, (i - 1) % 120 + 1) % 10).cast("string")).when(c.rlike("[a-z]"), cased(c, i)).when(c.rlike("[A-Z]"), F.upper(cased(c, i))).otherwise(c))
-    words, script = F.split(canon, " "), _script(canon)
-    family = lambda w: _part(w, F.lit(False), gender, script, key, attempt)
-    name = F.when(F.size(words) > 1, F.concat_ws(" ", _part(F.element_at(words, 1), F.lit(True), gender, script, key, F.lit(0)), family(F.element_at(words, 2)))).otherwise(family(F.element_at(words, 1)))
-    return (
-        F.when(k == "email", mail).when(k == "ip", address).when(k == "card", _new_card(canon, h)).when(k == "ssn", _new_digits(canon, h, F.lit(0)))
-        .when(k == "phone", _new_digits(canon, h, F.greatest(F.lit(0), F.length(canon) - 10))).when(k == "name", name).otherwise(secret)
-    )
+def _characters(c: Column) -> Column:
+    return F.split(c, "")
+
+
+def _names(d: Column) -> Column:
+    """A given and a family name, or a family name alone; a part has the same surrogate in every name of the attempt."""
+    words = F.split(d["c"], " ")
+    cyrillic, man, two = d["c"].rlike(r"\p{IsCyrillic}"), d["g"] == "m", F.size(words) > 1
+
+    def by_script(make):
+        return F.when(cyrillic, make("cyrillic")).otherwise(make("latin"))
+
+    def given(script: str) -> Column:
+        return F.when(man, _pick(GIVEN["m", script], d["h1"], 1)).otherwise(_pick(GIVEN["f", script], d["h1"], 1))
 
+    family = by_script(lambda s: F.initcap(F.concat(*[_pick(SYLLABLES[s], d["h2"], 5 + 4 * i) for i in range(4)])))
+    return F.when(two, F.concat_ws(" ", by_script(given), family)).otherwise(family)
 
-def _as_mentioned(e: Column, k: Column, new: Column) -> Column:
+
+def surrogates(found: Column, key: str) -> Column:
+    """``found``, an array of ``(e, k, c, g, a)``, with ``n``: the canonical form of each entity's surrogate at attempt ``a``.
+
+    Each step is a ``transform`` of the one before, so hashes are taken once for an entity and not once for each of its characters.
+    """
+
+    def hashed(d: Column) -> Column:
+        words = F.split(F.lower(d["c"]), " ")
+        named = d["k"] == "name"
+        h1 = F.when(named, _hash(key, F.lit("part"), F.get(words, F.lit(0)), F.lit("0"))).when(d["k"] == "email", _hash(key, F.lit("domain"), F.regexp_extract(d["c"], "@(.*)$", 1)))
+        h2 = F.when(named, _hash(key, F.lit("part"), F.element_at(words, -1), d["a"].cast("string")))
+        return F.struct(d["e"].alias("e"), d["k"].alias("k"), d["c"].alias("c"), d["g"].alias("g"), _hash(key, d["k"], d["c"], d["a"].cast("string")).alias("h"), h1.alias("h1"), h2.alias("h2"))
+
+    def spread(d: Column) -> Column:
+        more = F.when(d["k"].isin("secret", "card", "ssn", "phone"), F.transform(_characters(F.concat(d["h"], F.sha2(d["h"], 256))), lambda c: F.conv(c, 16, 10).cast("int")))
+        return F.struct(*[d[f].alias(f) for f in ("e", "k", "c", "g", "h", "h1", "h2")], more.alias("v"))
+
+    def body(d: Column) -> Column:
+        """Numbers, of a card without its check digit: what is kept, then two hash characters a digit."""
+        keep = F.when(d["k"] == "card", 2).when(d["k"] == "phone", F.greatest(F.lit(0), F.length(d["c"]) - 10)).otherwise(0)
+        size = F.length(d["c"]) - keep - F.when(d["k"] == "card", 1).otherwise(0)
+        made = F.array_join(F.transform(F.sequence(F.lit(1), size), lambda i: ((F.get(d["v"], i * 2) * 16 + F.get(d["v"], i * 2 + 1)) % 10).cast("string")), "")
+        number = F.when(d["k"].isin("card", "ssn", "phone"), F.concat(F.substr(d["c"], F.lit(1), keep), made))
+        return F.struct(*[d[f].alias(f) for f in ("e", "k", "c", "g", "h", "h1", "h2", "v")], number.alias("b"))
+
+    def last(d: Column) -> Column:
+        top = F.regexp_extract(d["c"], r"\.(com|net|org)$", 1)
+        mail = F.concat(
+            F.translate(F.substring(d["h"], 1, 12), "0123456789", "ghijklmnop"), F.lit("."), F.lpad((_number(d["h"], 13) % 100).cast("string"), 2, "0"),
+            F.lit("@m"), F.substring(d["h1"], 1, 6), F.lit(".example."), F.when(top != "", top).otherwise("org"),
+        )
+        address = F.concat_ws(".", (_number(d["h"], 1) % 223 + 1).cast("string"), *[(_number(d["h"], 5 + 4 * i) % 254 + 1).cast("string") for i in range(3)])
+        card = F.concat(d["b"], ((10 - _luhn_sum(F.concat(d["b"], F.lit("0"))) % 10) % 10).cast("string"))
+        value = lambda i: F.get(d["v"], i % 128)
+        letter = lambda i: F.substr(F.lit("abcdef"), value(i) % 6 + 1, F.lit(1))
+        shaped = lambda c, i: F.when((c >= "0") & (c <= "9"), (value(i) % 10).cast("string")).when((c >= "a") & (c <= "z"), letter(i)).when((c >= "A") & (c <= "Z"), F.upper(letter(i))).otherwise(c)
+        secret = F.array_join(F.transform(_characters(d["c"]), shaped), "")
+        new = F.when(d["k"] == "email", mail).when(d["k"] == "ip", address).when(d["k"] == "card", card).when(d["k"].isin("ssn", "phone"), d["b"]).when(d["k"] == "name", _names(d)).when(d["k"] == "secret", secret)
+        return F.struct(d["e"].alias("e"), d["k"].alias("k"), d["c"].alias("c"), new.alias("n"))
+
+    return F.transform(F.transform(F.transform(F.transform(found, hashed), spread), body), last)
+
+
+def _as_mentioned(d: Column) -> Column:
     """The surrogate in the format of the mention: its digits in place, its title in front, its case."""
-    before = lambda i: F.length(F.regexp_replace(F.substr(e, F.lit(1), i), r"[^0-9]", ""))
-    number = _chars(e, lambda c, i: F.when(c.rlike("[0-9]"), F.substr(new, before(i), F.lit(1))).otherwise(c))
-    titled = F.concat(F.regexp_extract(e, rf"^(?:{_TITLE})\.? ", 0), new)
-    return F.when(k.isNull(), e).when(k.isin("phone", "card", "ssn"), number).when(k == "name", titled).when((k == "email") & (e == F.upper(e)), F.upper(new)).otherwise(new)
+    e, k, n = d["e"], d["k"], d["n"]
+    step = lambda acc, c: F.when(
+        (c >= "0") & (c <= "9"), F.struct(F.concat(acc["out"], F.substr(n, acc["at"], F.lit(1))).alias("out"), (acc["at"] + 1).alias("at"))
+    ).otherwise(F.struct(F.concat(acc["out"], c).alias("out"), acc["at"].alias("at")))
+    number = F.aggregate(_characters(e), F.struct(F.lit("").alias("out"), F.lit(1).alias("at")), step, lambda acc: acc["out"])
+    titled = F.concat(F.regexp_extract(e, rf"^(?:{_TITLE})\.? ", 0), n)
+    return F.when(k.isNull(), e).when(k.isin("phone", "card", "ssn"), number).when(k == "name", titled).when((k == "email") & (e == F.upper(e)), F.upper(n)).otherwise(n)
 
 
 def find(text: Column) -> Column:
-    """The matches in a text, in order, with repeats; none in a null text."""
+    """The matches in a text, in order, with repeats; none in a null text. Texts without any sign of an entity are not searched."""
     none = F.array().cast("array<string>")
-    return F.coalesce(F.when(text.rlike(_SIGN), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))), none)
+    signs = text.rlike("[0-9@]")
+    for word in (*(f"{t} " for t in TITLES), *(f"{t}. " for t in TITLES), "token", "secret", "passw", "api_key", "apikey", "api-key"):
+        signs = signs | text.contains(word)
+    return F.coalesce(F.when(signs, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))), none)
 
 
-def _described(e: Column) -> Column:
-    k = kind(e)
-    return F.struct(e.alias("e"), k.alias("k"), canonical(e, k).alias("c"), F.when(k == "name", _gender(e)).alias("g"))
+def describe(found: Column) -> Column:
+    """Matches as an array of ``(e, k, c, g)``."""
+    typed = F.transform(found, lambda e: F.struct(e.alias("e"), kind(e).alias("k")))
+    return F.transform(typed, lambda d: F.struct(d["e"].alias("e"), d["k"].alias("k"), canonical(d["e"], d["k"]).alias("c"), F.when(d["k"] == "name", _gender(d["e"])).alias("g")))
 
 
 def attempts(entities: DataFrame, key: str, rounds: int = 64) -> DataFrame:
@@ -176,10 +194,11 @@ def attempts(entities: DataFrame, key: str, rounds: int = 64) -> DataFrame:
     one that meets a real entity's form gives way in any case. Each round tries
     those again against all surrogates that stand.
     """
-    secret = F.lit(key)
-    fresh = lambda df: df.withColumn("s", surrogate_canon(F.col("k"), F.col("c"), F.col("g"), secret, F.col("attempt")))
+    one = F.array(F.struct(F.lit(None).cast("string").alias("e"), "k", "c", "g", F.col("attempt").alias("a")))
+    fresh = lambda df: df.withColumn("s", F.get(surrogates(one, key), F.lit(0))["n"])
     real = written(entities.groupBy("k", "c").agg(F.min("g").alias("g")), "entities")
-    now = written(fresh(real.withColumn("attempt", F.lit(0))), "surrogates")
+    # Few rows of heavy work: dealt out evenly, whatever their size in bytes.
+    now = written(fresh(real.repartition(width(real.sparkSession)).withColumn("attempt", F.lit(0))), "surrogates")
     for _ in range(rounds):
         owners = now.groupBy("k", "s").agg(F.min(F.struct("attempt", "c")).alias("first"))
         taken = now.join(owners, ["k", "s"]).filter(F.col("c") != F.col("first.c")).select("k", "c")
@@ -200,8 +219,8 @@ def replace(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "
     """
     kept = [c for c in docs.columns if c != "entities"]
     text = F.col(text_col)
-    found = docs.select(*kept).withColumn("__wl_found", F.transform(find(text), _described))
-    seen = docs.select(F.explode(find(text)).alias("e")).distinct().select(_described(F.col("e")).alias("d")).filter("d.k IS NOT NULL")
+    found = docs.select(*kept).withColumn("__wl_found", describe(find(text)))
+    seen = docs.select(F.explode(find(text)).alias("e")).distinct().select(F.get(describe(F.array("e")), F.lit(0)).alias("d")).filter("d.k IS NOT NULL")
     moved = attempts(seen.select("d.k", "d.c", "d.g"), key)
     if moved.isEmpty():
         found = found.withColumn("__wl_moved", F.lit(None).cast("map<string,int>"))
@@ -212,11 +231,10 @@ def replace(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "
         maps = held.join(moved, ["k", "c"]).groupBy("__wl_a", "__wl_b").agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("|", "k", "c"), "attempt"))).alias("__wl_moved"))
         found = found.select("*", *name).join(maps, ["__wl_a", "__wl_b"], "left").drop("__wl_a", "__wl_b")
 
-    def new(d: Column) -> Column:
-        attempt = F.coalesce(F.element_at(F.col("__wl_moved"), F.concat_ws("|", d["k"], d["c"])), F.lit(0))
-        return F.struct(d["k"].alias("kind"), _as_mentioned(d["e"], d["k"], surrogate_canon(d["k"], d["c"], d["g"], F.lit(key), attempt)).alias("surrogate"))
-
-    made = found.withColumn("__wl_new", F.transform("__wl_found", new))
+    attempt = lambda d: F.coalesce(F.element_at(F.col("__wl_moved"), F.concat_ws("|", d["k"], d["c"])), F.lit(0))
+    tried = F.transform("__wl_found", lambda d: F.struct(d["e"].alias("e"), d["k"].alias("k"), d["c"].alias("c"), d["g"].alias("g"), attempt(d).alias("a")))
+    named = F.transform(surrogates(tried, key), lambda d: F.struct(d["k"].alias("kind"), _as_mentioned(d).alias("surrogate")))
+    made = found.withColumn("__wl_new", named)
     parts = F.split(text, PATTERN, -1)
     woven = F.concat(F.element_at(parts, 1), F.array_join(F.zip_with(F.col("__wl_new"), F.slice(parts, 2, F.greatest(F.lit(1), F.size(parts))), lambda a, b: F.concat(a["surrogate"], b)), ""))
     out = made.withColumn(text_col, F.when(F.size("__wl_found") > 0, woven).otherwise(text))
