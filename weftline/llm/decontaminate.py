@@ -16,11 +16,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
-from .text import blobs, words
+from .text import blobs, slices, words
 
 #: Words of a window; words of a segment, which ends with the document that passes them; words of the items searched at once.
 WINDOW, SEGMENT_WORDS, BLOCK_WORDS = 10, 1 << 18, 200_000
@@ -50,7 +51,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, ties, texts, total = [], [], [], 0
-        for batch in batches:
+        for batch in slices(batches, "text"):
             for i, tie, text in zip(batch.column("id").to_pylist(), batch.column("tie").to_pylist(), blobs(batch.column("text")), strict=True):
                 found = words(text)
                 ids.append(i)
@@ -86,20 +87,24 @@ class Phrases:
                 owners.append(item)
 
 
+def _known(terms: pa.Array, known: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where a segment's terms are among the known ones: places in the segment, and places in ``known``."""
+    at = pc.index_in(terms, value_set=known)
+    has = at.is_valid().to_numpy(zero_copy_only=False)
+    return np.flatnonzero(has), at.drop_null().to_numpy().astype(np.int64)
+
+
 def _frequencies(index: DataFrame, phrases: Phrases) -> np.ndarray:
     """How often each of the phrases' terms occurs in all segments."""
-    terms = index.sparkSession.sparkContext.broadcast(phrases.terms)
+    terms = index.sparkSession.sparkContext.broadcast(pa.array(list(phrases.terms), pa.binary()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = terms.value
         total = np.zeros(len(known), np.int64)
         for batch in batches:
             for found, at in zip(batch.column("term"), batch.column("at"), strict=True):
-                counts = np.diff(np.frombuffer(at.as_py(), "<i4"))
-                for i, w in enumerate(found.values.to_pylist()):
-                    k = known.get(w)
-                    if k is not None:
-                        total[k] += counts[i]
+                i, k = _known(found.values, known)
+                total[k] += np.diff(np.frombuffer(at.as_py(), "<i4"))[i]
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["term", "n"])
 
@@ -135,7 +140,7 @@ def _search(index: DataFrame, phrases: Phrases, slop: int) -> DataFrame:
     for group in by_size.values():
         ids = np.array([w for w, _ in group], np.int32)
         plans.append((ids, np.argsort(counts[ids], axis=1, kind="stable").astype(np.int32), [o for _, o in group]))
-    sent = index.sparkSession.sparkContext.broadcast((phrases.terms, plans))
+    sent = index.sparkSession.sparkContext.broadcast((pa.array(list(phrases.terms), pa.binary()), plans))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, plans = sent.value
@@ -145,18 +150,16 @@ def _search(index: DataFrame, phrases: Phrases, slop: int) -> DataFrame:
                 at, place = (np.frombuffer(get(c).as_py(), "<i4") for c in ("at", "place"))
                 lists: dict[int, np.ndarray] = {}
                 has = np.zeros(len(known), bool)
-                for i, w in enumerate(get("term").values.to_pylist()):
-                    k = known.get(w)
-                    if k is not None:
-                        lists[k] = place[at[i] : at[i + 1]].astype(np.int64)
-                        has[k] = True
+                for i, k in zip(*(x.tolist() for x in _known(get("term").values, known)), strict=True):
+                    lists[k] = place[at[i] : at[i + 1]]
+                    has[k] = True
                 start, n = (get(c).values.to_numpy().astype(np.int64) for c in ("start", "n"))
                 spans: dict[int, set] = {}
                 items: dict[int, set] = {}
                 for ids, order, owners in plans:
                     for w in np.flatnonzero(has[ids].all(axis=1)):
                         offsets = order[w].tolist()
-                        match = _intersect([lists[ids[w, o]] for o in offsets], offsets, slop)
+                        match = _intersect([lists[ids[w, o]].astype(np.int64) for o in offsets], offsets, slop)
                         doc = np.searchsorted(start, match[:, 0], side="right") - 1
                         for d, (a, b) in zip(doc.tolist(), match.tolist(), strict=True):
                             if b < start[d] + n[d]:
