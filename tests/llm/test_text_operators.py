@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from weftline.llm import decontaminate, linededup, simhash, toxicity
+from weftline.llm import decontaminate, linededup, neardup, simhash, toxicity
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 lower = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t)
@@ -148,6 +148,48 @@ def test_links_in_large_keys():
     assert components(len(fps), [(place[a], place[b]) for a, b in edges]) == components(len(fps), near.tolist())
 
 
+# Near-duplicates of the pipeline
+
+
+@pytest.mark.parametrize("pairwise,block", [(24, 1024), (2, 3)])
+def test_near_dedup_stage(spark, monkeypatch, pairwise, block):
+    """The stage links what brute force over five-word shingles links, also texts whose fingerprints are many bits apart."""
+    import corpus_pipeline
+
+    monkeypatch.setattr(neardup, "_PAIRWISE", pairwise)
+    monkeypatch.setattr(neardup, "_BLOCK", block)
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(400)]
+    docs = []
+    for _ in range(12):
+        base = [*words[:12], *rng.choices(words, k=rng.randint(20, 200))]
+        docs.append(base)
+        for _ in range(6):
+            copy = list(base)
+            for _ in range(rng.randint(1, 5)):
+                copy[rng.randrange(len(copy))] = rng.choice(words)
+            docs.append(copy if rng.random() < 0.8 else copy[rng.randint(0, 12) :])
+    docs = [(i, " ".join(w).upper() if i % 7 == 0 else "\n".join(w)) for i, w in enumerate(docs)]
+    docs += [(200, None), (201, ""), (202, " \t "), (None, docs[0][1]), (3, docs[1][1]), (204, "one two three"), (205, "One  two three"), (206, "one two"), (207, "a b c d e"), (208, "b c d e a")]
+
+    def grams(text):
+        found = lower(text or "").split()
+        return {" ".join(found[i : i + 5]) for i in range(max(1, len(found) - 4))} if found else set()
+
+    sets = [grams(t) for _, t in docs]
+    near = lambda a, b: not (a | b) or 100 * len(a & b) >= 80 * len(a | b)
+    pairs = [(i, j) for i in range(len(docs)) for j in range(i) if near(sets[i], sets[j])]
+    far = [(i, j) for i, j in pairs if (simhash.fingerprint((docs[i][1] or "").encode()) ^ simhash.fingerprint((docs[j][1] or "").encode())).bit_count() > 3]
+    assert len(far) > 20
+    first = {}
+    for (d, _), r in zip(docs, components(len(docs), pairs), strict=True):
+        first[r] = min((d is None, d or 0), first.get(r, (True, 0)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.length("text").cast("long")})
+    kept = corpus_pipeline.without_near_duplicates(spark, df, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(d for _, d in first.values()) and len(first) < len(docs) - 20
+    assert corpus_pipeline.without_near_duplicates(spark, df.filter("false"), "").count() == 0
+
+
 # Line dedup
 
 
