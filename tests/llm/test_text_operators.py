@@ -236,6 +236,14 @@ def test_line_dedup(spark, monkeypatch, limit, block):
     assert linededup.digest(df.filter("false").select("doc_id", "text")).count() == 0
 
 
+def test_lines_two_edits_apart_are_repeats(spark):
+    """Without a threshold given, two replaced, added or lost characters make no new line; four do."""
+    line = "the quick brown fox jumps over the lazy dog"
+    rows = [(1, line), (2, line.replace("quick", "quack").replace("dog", "dig")), (3, line[2:] + "\nkept"), (4, line.replace("lazy", "grim"))]
+    out = linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["text"] for r in out.collect()} == {1: line, 2: "", 3: "kept", 4: rows[3][1]}
+
+
 # Toxicity
 
 

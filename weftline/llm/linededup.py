@@ -26,7 +26,7 @@ from ..session import width, written
 from .text import blobs, whole_groups
 
 #: Edits within which two lines are one, and the characters that a line needs, spaces at its ends not counted, to take part.
-MAX_EDITS, MIN_CHARS = 1, 30
+MAX_EDITS, MIN_CHARS = 2, 30
 _SEEN, _PAIRWISE, _BLOCK, _FILTER_BITS = 300_000, 24, 2048, 1 << 26
 
 
