@@ -94,6 +94,14 @@ def test_surrogates_keep_type_format_and_identity(spark):
     assert pii.replace(df, "other").filter("doc_id = 6").first()["text"] != ip
 
 
+def test_secrets_after_keywords_in_any_case(spark):
+    """Also where the keyword is a text's only sign of an entity."""
+    secrets = ["9233A8EC51B07D64F2A19C3E", "qwertyuiopasdfghjklz", "ABCDEFGHIJKLMNOPQRST", "zyxwvutsrqponmlkjihg"]
+    rows = [(i, f'{word} "{secret}" end') for i, (word, secret) in enumerate(zip(["TOKEN =", "Password:", "API_KEY=", "Api-Key ="], secrets, strict=True))]
+    got = pii.replace(spark.createDataFrame(rows, "doc_id long, text string"), "key").collect()
+    assert all([e["kind"] for e in r["entities"]] == ["secret"] and secrets[r["doc_id"]] not in r["text"] for r in got)
+
+
 def test_surrogates_stay_distinct(spark, monkeypatch):
     real = pii.surrogates
     narrow = lambda found, key: F.zip_with(found, real(found, key), lambda d, r: F.struct(r["e"].alias("e"), r["k"].alias("k"), r["c"].alias("c"), F.when((d["a"] == 0) & (d["k"] == "ip"), F.lit("1.1.1.1")).otherwise(r["n"]).alias("n")))

@@ -38,7 +38,7 @@ PATTERNS = {
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\d)])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])",
     "card": r"(?<!\d)(?:\d{4}[ -]){3}\d{1,7}(?!\d)|(?<!\d)\d{13,19}(?!\d)",
-    "secret": r"(?<![\p{L}\p{N}_-])(?=[A-Za-z0-9_-]{16})(?<=(?:token|secret|passwd|password|api_key|apikey|api-key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9_-]++",
+    "secret": r"(?<![\p{L}\p{N}_-])(?=[A-Za-z0-9_-]{16})(?<=(?i:token|secret|passwd|password|api_key|apikey|api-key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9_-]++",
     "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE})\.? \p{{Lu}}[\p{{L}}'-]++(?: \p{{Lu}}[\p{{L}}'-]++)?",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -175,8 +175,8 @@ def _as_mentioned(d: Column) -> Column:
 def find(text: Column) -> Column:
     """The matches in a text, in order, with repeats; none in a null text. Texts without any sign of an entity are not searched."""
     none = F.array().cast("array<string>")
-    signs = text.rlike("[0-9@]")
-    for word in (*(f"{t} " for t in TITLES), *(f"{t}. " for t in TITLES), "token", "secret", "passw", "api_key", "apikey", "api-key"):
+    signs = text.rlike("[0-9@]") | text.rlike("(?i)token|secret|passw|api[_-]?key")
+    for word in (*(f"{t} " for t in TITLES), *(f"{t}. " for t in TITLES)):
         signs = signs | text.contains(word)
     return F.coalesce(F.when(signs, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))), none)
 
