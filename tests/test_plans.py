@@ -70,6 +70,14 @@ def test_streams_equal_batches(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "once")).filter("user_id >= 0").count() == source.select("user_id", "event_type").distinct().count()
 
 
+def test_rejected_hypotheses_are_tested_again(spark):
+    nodes = spark.createDataFrame([(x, None) for x in "abcd"], "id string, stale_reasons string")
+    edges = spark.createDataFrame([("a", "b", "HYPOTHESIZES", 0.1, False), ("c", "d", "HYPOTHESIZES", 0.8, None), ("a", "c", "HYPOTHESIZES", 0.9, True)], "src string, dst string, type string, confidence double, verified boolean")
+    g, report = cycle.verification(cycle.Graph(nodes, edges))
+    assert sum(report.counts.values()) == 2 and g.edges.filter("src = 'a' AND dst = 'b' AND verified").count() == 1
+    assert sum(cycle.verification(cycle.Graph(nodes, edges), 1)[1].counts.values()) == 1
+
+
 def test_provider_chain():
     now = [0.0]
 

@@ -74,7 +74,8 @@ def synthesis(g: Graph, least: float = 0.70, shared: int = 2, limit: int = 500)
 
 
 def verification(g: Graph, batch: int = 20) -> tuple[Graph, Report]:
-    pending = g.of("HYPOTHESIZES").filter("verified IS NULL").orderBy("src", "dst").limit(batch)
+    """Hypotheses that are not accepted are tested, also rejected ones; those never tested come first."""
+    pending = g.of("HYPOTHESIZES").filter("verified IS NULL OR verified = false").orderBy(F.col("verified").isNotNull(), "src", "dst").limit(batch)
     facts = g.nodes.select("id", F.col("stale_reasons").isNotNull().alias("stale"))
     found = maintain.hypothesis_evidence(pending, facts, g.of("CONTRADICTS"))
     said = found.withColumn("v", maintain.verdict(maintain.counter_score(F.col("stale_ends"), F.col("contradictions")), F.lit(0.0)))
