@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from weftline.llm import bpe, tokenfile
-from weftline.llm.text import Memo
+from weftline.llm.text import Table
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 ODD = [
@@ -61,12 +61,15 @@ def test_long_words_and_short_ones_agree(codecs):
         assert codecs[0]._long(word).tolist() == codecs[0]._together([word])[0].tolist()
 
 
-def test_memo_is_bounded():
-    made = []
-    m = Memo(lambda keys: [made.append(k) or k * 2 for k in keys], 3)
-    for i in range(50):
-        assert m.of({i, i + 1})[i] == 2 * i
-    assert len(m.young) + len(m.old) <= 12
+def test_table_is_bounded_and_right():
+    rng = np.random.default_rng(5)
+    table = Table(lambda keys: [np.arange(k, k + k % 7, dtype=np.uint32) for k in keys], 4000)
+    for _ in range(60):
+        keys = rng.integers(0, 2000, 150).astype(np.uint64)
+        got, sizes = table.over(keys, lambda some, keys=keys: keys[some].tolist())
+        assert sizes.tolist() == [k % 7 for k in keys.tolist()]
+        assert got.tolist() == [x for k in keys.tolist() for x in range(k, k + k % 7)]
+        assert table.flat.nbytes + 24 * len(table.names) <= 4000 + 150 * 48
 
 
 def test_token_file_reads_any_place():

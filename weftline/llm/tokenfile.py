@@ -10,28 +10,26 @@ it. A file has its documents' ids and starts, so it stands alone.
 
 from __future__ import annotations
 
+import functools
 import os
-import re
 import struct
-import unicodedata
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import width, written
-from .text import Memo, slices
+from .text import Table, flat, named, slices
 
 #: Tokens after which a file ends with the document that passes them.
 FILE_TOKENS = 1 << 20
 _MAGIC, _BLOCK = b"WLDAC01\n", 512
-_ODD, _RUNS = re.compile("[\x1c-\x1f]"), regex.compile(r"\S+")
-_BEYOND, _STOP = re.compile("[^\x00-\u024f]"), re.compile(r"(?<=[a-z0-9\u00e0-\u00f6\u00f8-\u00ff])([.,])(?=\s|\Z)")
+_LOWER = np.array([i + 32 if 65 <= i <= 90 else i for i in range(256)], np.uint8)
+#: 0 white space, 1 letters, 2 digits, 3 punctuation; 4 is all that a cut may not touch.
+_CLASS = np.array([0 if i in b"\t\n\v\f\r " else 4 if i >= 127 or i < 32 or chr(i) == "'" else 1 if chr(i).isalpha() else 2 if chr(i).isdigit() else 3 for i in range(256)], np.uint8)
 _ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
 
@@ -117,69 +115,111 @@ class TokenFile:
 class Encoder:
     """Ids of whole texts from a tokenizer that never joins across white space and ignores case, with the ids of words cached.
 
-    A text of composed Latin characters is lower-cased, and a full stop or comma
-    between a letter or digit and white space is set apart, as the tokenizer
-    itself would; other texts are cut at white space alone.
+    Texts are cut at ASCII white space, between ASCII letters, digits and
+    punctuation but for apostrophes, and between ASCII digits, as the tokenizer
+    itself would; A-Z are lower-cased. A text that may hold a special token is
+    cut at white space alone, and lower-cased by the tokenizer.
     """
 
-    def __init__(self, path: str, cached: int = 500_000):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.words = Memo(self._library, cached)
-
-    def _library(self, some: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-
-    @staticmethod
-    def cut(text: str) -> list[str]:
-        if _ODD.search(text):
-            return _RUNS.findall(text)
-        if "<|" in text or not (text.isascii() or not _BEYOND.search(text) and unicodedata.is_normalized("NFC", text)):
-            return text.split()
-        return _STOP.sub(r" \1", text.lower()).split()
+        self.words = Table(self._library)
+
+    def _library(self, some: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+
+    def encode_flat(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts that lie one after the other in ``data``, and the bounds of each text's."""
+        lowered, plain = _LOWER[data], np.ones(len(data), bool)
+        if b"<|" in data.tobytes():
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                if b"<|" in data[a:b].tobytes():
+                    lowered[a:b], plain[a:b] = data[a:b], False
+        kind = _CLASS[data]
+        full = kind != 0
+        begins, ends = full.copy(), full.copy()
+        inner = full[1:] & full[:-1] & ~((kind[1:] != kind[:-1]) & (kind[1:] < 4) & (kind[:-1] < 4) & plain[1:] | (kind[1:] == 2) & (kind[:-1] == 2) & plain[1:])
+        begins[1:] &= ~inner
+        ends[:-1] &= ~inner
+        sides = bounds[:-1][bounds[:-1] < bounds[1:]]
+        begins[sides] = full[sides]
+        ends[sides[1:] - 1] = full[sides[1:] - 1]
+        starts, stops = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+        text = lowered.tobytes()
+        ids, sizes = self.words.over(named(lowered, starts, stops), lambda some: [text[a:b].decode("utf-8", "replace") for a, b in zip(starts[some].tolist(), stops[some].tolist(), strict=True)])
+        return ids, np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])[np.searchsorted(starts, bounds)]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers. None is an empty text."""
-        cut = [self.cut(t) if t else [] for t in texts]
-        get = self.words.of(set().union(*cut)).__getitem__
-        return [b"".join(map(get, some)) for some in cut]
+        ids, bounds = self.encode_flat(*flat(pa.array(texts, pa.string())))
+        return [ids[a:b].astype("<u4").tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
+@functools.lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """The encoder of a worker process, with what it has cached."""
+    return Encoder(path)
+
+
+def _encoded(docs: DataFrame, path: str, id_col: str, text_col: str) -> DataFrame:
+    """``(id, tie, ids)`` of each row: its id, a hash of its text, its token ids, in two bytes each if all of the vocabulary fit and else in four."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = encoder(path)
+        kind = _kind(made.tokenizer.get_vocab_size())
+        for batch in slices(batches, "text"):
+            ids, bounds = made.encode_flat(*flat(batch.column("text")))
+            column = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer((bounds * np.dtype(kind).itemsize).astype("<i4").tobytes()), pa.py_buffer(ids.astype(kind).tobytes())])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("tie"), column], ["id", "tie", "ids"])
+
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, "id long, tie long, ids binary")
+
+
+def _kind(size: int) -> str:
+    return "<u2" if size <= 1 << 16 else "<u4"
 
 
 def write_tokens(docs: DataFrame, path: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Token files of ``docs`` in ascending order of id, nulls first and equal ids by a hash of the text, as ``(part, seq, n_tokens, file)``.
 
-    Each document ends with ``end_id``; null and empty texts have it alone. The
-    order of ``(part, seq)`` is the order of the files. They are written in the
-    shared folder, a file of the format in each row.
+    Ids are cast to long. Each document ends with ``end_id``; null and empty
+    texts have it alone. Repeated rows are repeated in the files, and an empty
+    table has none. The order of ``(part, seq)`` is the order of the files. They
+    are written in the shared folder, a file of the format in each row. Texts
+    are encoded where they are read; only ids move.
     """
+    encoded = written(_encoded(docs, path, id_col, text_col), "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end, part = Encoder(path), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId()
-        names, held, seq, total = [], [], 0, 0
+        kind, part = None, TaskContext.get().partitionId()
+        names, held, sizes, seq, total = [], [], [], 0, 0
 
         def file() -> pa.RecordBatch:
-            sizes = np.array([len(x) // 4 for x in held], np.int64)
-            data = pack(np.frombuffer(b"".join(held), "<u4"), np.concatenate([[0], np.cumsum(sizes)]), names)
-            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([int(sizes.sum())], pa.int64()), pa.array([data], pa.binary())], ["part", "seq", "n_tokens", "file"])
+            data = pack(np.concatenate(held), np.concatenate([[0], np.cumsum(sizes)]), names)
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([total], pa.int64()), pa.array([data], pa.binary())], ["part", "seq", "n_tokens", "file"])
 
-        for batch in slices(batches, "text"):
-            for name, ids in zip(batch.column("id").to_pylist(), encoder.encode(batch.column("text").to_pylist()), strict=True):
+        for batch in batches:
+            kind = kind or _kind(encoder(path).tokenizer.get_vocab_size())
+            for name, ids in zip(batch.column("id").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+                ids = np.frombuffer(ids, kind)
                 names.append(name)
-                held.append(ids + end)
-                total += len(ids) // 4 + 1
+                held += [ids.astype(np.uint32), np.array([end_id], np.uint32)]
+                sizes.append(len(ids) + 1)
+                total += len(ids) + 1
                 if total >= FILE_TOKENS:
                     yield file()
-                    names, held, seq, total = [], [], seq + 1, 0
+                    names, held, sizes, seq, total = [], [], [], seq + 1, 0
         if names:
             yield file()
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).alias("text"))
-    dealt = rows.repartitionByRange(width(docs.sparkSession), "id", "tie").sortWithinPartitions("id", "tie")
-    return written(dealt.select("id", "text").mapInArrow(run, "part int, seq int, n_tokens long, file binary"), "tokens")
+    dealt = encoded.repartitionByRange(width(docs.sparkSession), "id", "tie").sortWithinPartitions("id", "tie")
+    return written(dealt.select("id", "ids").mapInArrow(run, "part int, seq int, n_tokens long, file binary"), "tokens")
 
 
 def bases(files: DataFrame) -> DataFrame:
@@ -200,8 +240,9 @@ def read_documents(files: DataFrame) -> DataFrame:
                 file = TokenFile(data)
                 n = file.n_docs
                 starts = file.starts.astype(np.int64)
-                ids = pa.array([file.document(k).astype("<u4").tobytes() for k in range(n)], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array([part] * n, pa.int32()), pa.array([seq] * n, pa.int32()), pa.array(file.names, pa.int64()), pa.array(starts[:-1]), pa.array(np.diff(starts)), ids], ["part", "seq", "id", "start", "n_tokens", "ids"])
+                ids = file.tokens(0, file.n_tokens).astype("<u4").tobytes()
+                column = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((starts * 4).astype("<i4").tobytes()), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([pa.array([part] * n, pa.int32()), pa.array([seq] * n, pa.int32()), pa.array(file.names, pa.int64()), pa.array(starts[:-1]), pa.array(np.diff(starts)), column], ["part", "seq", "id", "start", "n_tokens", "ids"])
 
     return files.select("part", "seq", "file").mapInArrow(run, "part int, seq int, id long, start long, n_tokens long, ids binary")
 
