@@ -23,7 +23,7 @@ from .text import blobs, words
 
 #: Documents that a model learns from at most, chosen by a hash of their id.
 SAMPLE = 16_000
-_CACHED = 400_000
+_CACHED = 100_000
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
@@ -75,8 +75,20 @@ class Model:
 
 
 def ftrl(rows: list[tuple[np.ndarray, int]], bits: int = 24, alpha: float = 1.0, beta: float = 1.0, l1: float = 5.0, l2: float = 0.0, epochs: int = 5) -> Model:
-    """Fit on (distinct slots, label) rows in the given order, ``epochs`` times over."""
-    z, n = np.zeros(1 << bits, np.float32), np.zeros(1 << bits, np.float32)
+    """Fit on (distinct slots, label) rows in the given order, ``epochs`` times over; ``rows`` is used up.
+
+    A gradient is below 1, so a slot that ``l1 / epochs`` rows or fewer have
+    never gets a weight. Such slots are left out before training, and the
+    others are numbered, so memory follows what can matter.
+    """
+    seen = np.zeros(1 << bits, np.uint8)
+    for slots, _ in rows:
+        seen[slots] += seen[slots] < 255
+    live = np.flatnonzero(seen > l1 / epochs).astype(np.int32)
+    for i, (slots, label) in enumerate(rows):
+        rows[i] = np.searchsorted(live, slots[seen[slots] > l1 / epochs]).astype(np.int32), label
+    del seen
+    z, n = np.zeros(len(live), np.float32), np.zeros(len(live), np.float32)
     zb = nb = 0.0
 
     def weights(slots: np.ndarray) -> np.ndarray:
@@ -98,7 +110,7 @@ def ftrl(rows: list[tuple[np.ndarray, int]], bits: int = 24, alpha: float = 1.0,
             zb += float(g) - ((nb + float(g) ** 2) ** 0.5 - nb**0.5) / alpha * wb
             nb += float(g) ** 2
     slots = np.flatnonzero(np.abs(z) > l1)
-    return Model(bits, slots, weights(slots).astype(np.float64), bias())
+    return Model(bits, live[slots].astype(np.int64), weights(slots).astype(np.float64), bias())
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = 24, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 5) -> Model:
