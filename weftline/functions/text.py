@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-LINE_BREAK = r"\r\n|\n|\r"
+SPACES = " \t\n\v\f\r"
 
 # What page classification looks for.
 LEGAL_PHRASES = (
@@ -27,13 +29,19 @@ EXPLANATION_WORDS = ("figure", "example", "note:", "rationale", "background")
 WORD = r"[\p{L}\p{N}_]+"
 
 
+def once(value: Column, make: Callable[[Column], Column]) -> Column:
+    """``make`` of a value that is computed once for a row, however often ``make`` uses it."""
+    return F.get(F.transform(F.array(value), make), F.lit(0))
+
+
 def strip(c: Column) -> Column:
-    """Without white space at both ends."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Without white space at both ends, in time that follows the length."""
+    return F.btrim(c, F.lit(SPACES))
 
 
 def lines(c: Column) -> Column:
-    return F.split(c, LINE_BREAK)
+    """Lines that end with LF, CR LF or CR."""
+    return F.split(F.when(c.contains("\r"), F.translate(F.replace(c, F.lit("\r\n"), F.lit("\n")), "\r", "\n")).otherwise(c), "\n")
 
 
 def strip_inline_noise(c: Column) -> Column:
@@ -60,53 +68,71 @@ def token_estimate(c: Column) -> Column:
     return F.greatest(F.lit(1), F.floor(F.length(c) / 4)).cast("bigint")
 
 
-def share_of_lines(c: Column, pattern: str) -> Column:
-    """Share of the non-blank lines in which ``pattern`` is found; null without any."""
+def page_class(c: Column, blank: int = 80, toc_ratio: float = 0.50, revision_ratio: float = 0.40, diagram: int = 200) -> Column:
+    """The first class that fits: near_blank, legal_boilerplate, toc_heading, toc_content, revision_history, diagram, glossary, bibliography, content.
+
+    Lines are cut once. A table of contents has dots or a tab in its lines, a
+    date or version a digit, a heading a hash: only what has those is matched.
+    """
     some = F.filter(F.transform(lines(c), strip), lambda x: x != "")
-    return F.when(F.size(some) > 0, F.size(F.filter(some, lambda x: x.rlike(pattern))) / F.size(some))
+    share = lambda found, hit: F.when(F.size(found) > 0, F.size(F.filter(found, hit)) / F.size(found))
+    toc = lambda x: (x.contains("...") | x.contains("\t")) & x.rlike(TOC_LINE)
+    dated = lambda x: x.rlike("[0-9]") & x.rlike(f"(?:{DATE})|(?:{VERSION})")
 
+    def by_lines(found: Column) -> Column:
+        return F.when(share(found, toc) >= toc_ratio, "toc_content").when(share(found, dated) >= revision_ratio, "revision_history")
 
-def page_class(c: Column, blank: int = 80, toc_ratio: float = 0.50, revision_ratio: float = 0.40, diagram: int = 200) -> Column:
-    """The first class that fits: near_blank, legal_boilerplate, toc_heading, toc_content, revision_history, diagram, glossary, bibliography, content."""
-    size = F.length(strip(c))
-    legal = F.lit(False)
-    for phrase in LEGAL_PHRASES:
-        legal = legal | F.lower(c).contains(phrase)
+    legal = once(F.lower(c), lambda low: F.array_contains(F.array(*[low.contains(p) for p in LEGAL_PHRASES]), True))
+    size, headed = F.length(strip(c)), c.contains("#")
     return (
         F.when(size < blank, "near_blank")
         .when(legal, "legal_boilerplate")
-        .when(c.rlike(TOC_HEADING), "toc_heading")
-        .when(share_of_lines(c, TOC_LINE) >= toc_ratio, "toc_content")
-        .when(share_of_lines(c, f"(?:{DATE})|(?:{VERSION})") >= revision_ratio, "revision_history")
-        .when(size < diagram, "diagram")
-        .when(c.rlike(GLOSSARY_HEADING), "glossary")
-        .when(c.rlike(BIBLIOGRAPHY_HEADING), "bibliography")
-        .otherwise("content")
+        .when(headed & c.rlike(TOC_HEADING), "toc_heading")
+        .otherwise(
+            F.coalesce(
+                once(some, by_lines),
+                F.when(size < diagram, "diagram").when(headed & c.rlike(GLOSSARY_HEADING), "glossary").when(headed & c.rlike(BIBLIOGRAPHY_HEADING), "bibliography").otherwise("content"),
+            )
+        )
     )
 
 
 def drop_orphan_captions(c: Column, longest: int = 40) -> Column:
     """Without short caption lines that have blank lines, or nothing, on both sides."""
-    all_ = lines(c)
-    blank = lambda i: strip(F.element_at(all_, i)) == ""
 
-    def keep(x: Column, i: Column) -> Column:
-        alone = ((i == 0) | blank(F.greatest(i, F.lit(1)))) & ((i == F.size(all_) - 1) | blank(F.least(i + 2, F.size(all_))))
-        return ~((F.length(strip(x)) <= longest) & strip(x).rlike(CAPTION) & alone)
+    def over(both: Column) -> Column:
+        all_, bare = both["lines"], both["bare"]
+        blank = lambda i: F.element_at(bare, i) == ""
+
+        def keep(x: Column, i: Column) -> Column:
+            caption = once(F.element_at(bare, i + 1), lambda y: (F.length(y) <= longest) & y.rlike(CAPTION))
+            alone = ((i == 0) | blank(F.greatest(i, F.lit(1)))) & ((i == F.size(all_) - 1) | blank(F.least(i + 2, F.size(all_))))
+            return ~(caption & alone)
 
-    return F.array_join(F.filter(all_, keep), "\n")
+        return F.array_join(F.filter(all_, keep), "\n")
+
+    return once(once(lines(c), lambda all_: F.struct(all_.alias("lines"), F.transform(all_, strip).alias("bare"))), over)
+
+
+def embedding(c: Column, size: int = 64) -> Column:
+    """A stand-in for a model's vector: counts of words by a hash, of length 1. Null for a text without words."""
+    slot = lambda w: F.conv(F.substring(F.md5(w), 1, 4), 16, 10).cast("int") % size
+    slots = F.transform(F.regexp_extract_all(F.lower(c), F.lit(WORD), F.lit(0)), slot)
+    counts = once(slots, lambda some: F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.size(F.filter(some, lambda x: x == i)).cast("double")))
+    norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
+    return once(F.struct(counts.alias("v")), lambda d: once(norm(d["v"]), lambda n: F.when(n > 0, F.transform(d["v"], lambda x: x / n))))
 
 
 def quality_reason(c: Column, min_tokens: int = 40, min_unique: float = 0.30, min_body: int = 30) -> Column:
     """Why a chunk fails the quality gate (few_tokens, repetitive, only_headings), or pass."""
-    found = F.regexp_extract_all(F.lower(c), F.lit(WORD), F.lit(0))
-    body = F.array_join(F.filter(lines(c), lambda x: ~x.startswith("#")), "\n")
-    return (
-        F.when(token_estimate(c) < min_tokens, "few_tokens")
-        .when((F.size(found) > 0) & (F.size(F.array_distinct(found)) / F.size(found) < min_unique), "repetitive")
-        .when(F.length(strip(body)) < min_body, "only_headings")
-        .otherwise("pass")
-    )
+
+    def reason(c: Column) -> Column:
+        words = F.regexp_extract_all(F.lower(c), F.lit(WORD), F.lit(0))
+        repetitive = once(words, lambda found: (F.size(found) > 0) & (F.size(F.array_distinct(found)) / F.size(found) < min_unique))
+        body = F.when(c.contains("#") | c.contains("\r"), F.array_join(F.filter(lines(c), lambda x: ~x.startswith("#")), "\n")).otherwise(c)
+        return F.when(token_estimate(c) < min_tokens, "few_tokens").when(repetitive, "repetitive").when(F.length(strip(body)) < min_body, "only_headings").otherwise("pass")
+
+    return once(c, reason)
 
 
 def chunk_class(c: Column, ids: Column, page_class: Column, constraint_first: bool = False) -> Column:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..session import written
+from . import vectors
 
 
 def first_excerpts(pages: DataFrame, file: str, page: str, text: str, size: int = 400) -> DataFrame:
@@ -52,24 +52,42 @@ def edge_pages(pages: DataFrame, file: str, page: str, each: int = 3) -> DataFra
     return first.unionByName(last).dropDuplicates([file, page])
 
 
-def greedy_duplicates(candidates: DataFrame, file: str, key: str, vector: str, threshold: float = 0.95) -> DataFrame:
+def greedy_duplicates(candidates: DataFrame, file: str, key: str, vector: str, threshold: float = 0.95, rounds: int = 200) -> DataFrame:
     """``(key, kept)`` of candidates in order of ``key``: one goes if its cosine with an earlier kept one of another file reaches ``threshold``.
 
-    The fold is sequential by its meaning. Candidates are a few pages a file, so
-    this is for corpora of up to some thousand files; ``similar_components`` in
-    ``vectors`` is the form for any size.
+    Only pairs over the threshold are looked at. In each round those of which
+    all earlier partners have gone are kept, and those with a kept earlier
+    partner go; the rest waits. That is the sequential result, in as many rounds
+    as the longest chain of partners has members. Rows without a vector are kept.
     """
-
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(key)
-        x = np.stack(rows[vector].to_numpy()).astype(float)
-        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-        files, kept, out = rows[file].to_numpy(), [], []
-        for i in range(len(rows)):
-            near = [j for j in kept if files[j] != files[i] and x[i] @ x[j] >= threshold]
-            out.append(not near)
-            kept += [i] if not near else []
-        return pd.DataFrame({key: rows[key].to_numpy(), "kept": out})
-
-    kind = dict(candidates.dtypes)[key]
-    return candidates.select(file, key, vector).groupBy().applyInPandas(fold, f"{key} {kind}, kept boolean")
+    files = candidates.select(F.col(key).alias("k"), F.col(file).alias("f"))
+    pairs = vectors.similar_pairs(candidates, key, vector, threshold).join(files.toDF("a", "fa"), "a").join(files.toDF("b", "fb"), "b").filter("fa <> fb").select("a", "b")
+    pairs = written(pairs, "pairs")
+    open_, gone = written(pairs.select(F.col("b").alias("n")).distinct(), "open"), None
+    for _ in range(rounds):
+        if open_.isEmpty():
+            break
+        waits = pairs.join(open_.toDF("a"), "a", "left_semi").select(F.col("b").alias("n")).distinct()
+        lost = open_.toDF("a") if gone is None else open_.toDF("a").unionByName(gone.toDF("a"))
+        hit = pairs.join(lost, "a", "left_anti").select(F.col("b").alias("n")).distinct()
+        now = written(open_.join(hit, "n", "left_semi"), "gone")
+        kept = open_.join(hit, "n", "left_anti").join(waits, "n", "left_anti")
+        gone = written(now if gone is None else gone.unionByName(now), "gone")
+        open_ = written(open_.join(now, "n", "left_anti").join(kept, "n", "left_anti"), "open")
+    else:
+        raise RuntimeError(f"candidates still wait for each other after {rounds} rounds")
+    if gone is None:
+        return candidates.select(key, F.lit(True).alias("kept"))
+    return candidates.select(key).join(gone.select(F.col("n").alias(key), F.lit(False).alias("kept")), key, "left").select(key, F.coalesce("kept", F.lit(True)).alias("kept"))
+
+
+def boilerplate(pages: DataFrame, file: str, page: str, text: str, embed, each: int = 3, size: int = 500, threshold: float = 0.95, least_pages: int = 10, least_candidates: int = 4) -> DataFrame:
+    """``(file, page)`` of edge pages that go as near-duplicates of an earlier file's: of the first ``size`` characters, as ``embed`` makes vectors of them.
+
+    Nothing goes from fewer than ``least_pages`` pages or ``least_candidates`` candidates.
+    """
+    edge = edge_pages(pages.select(file, page, F.substring(text, 1, size).alias("t")), file, page, each)
+    if pages.limit(least_pages).count() < least_pages or edge.limit(least_candidates).count() < least_candidates:
+        return edge.select(file, page).filter("false")
+    named = written(edge.select(file, page, F.concat_ws("\x1f", file, F.format_string("%012d", F.col(page).cast("long"))).alias("k"), embed(F.col("t")).alias("v")), "edge-pages")
+    return named.join(greedy_duplicates(named, file, "k", "v", threshold).filter("NOT kept"), "k", "left_semi").select(file, page)

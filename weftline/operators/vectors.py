@@ -1,7 +1,9 @@
-"""Vector operators: exact top-k, pairs over a threshold, bands."""
+"""Vector operators: top-k search, a bucket index, pairs over a threshold, bands."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -9,7 +11,10 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 
-_BLOCK = 2048
+#: Rows of a block that one task compares with another; queries that are broadcast at once; queries that are compared with all rows at most.
+_BLOCK, _QUERIES, _SCANNED = 2048, 4096, 1 << 16
+#: Share of the pairs over a threshold that the index is laid out to meet.
+RECALL = 0.9999
 
 
 def index_score(cosine: Column) -> Column:
@@ -21,52 +26,151 @@ def dimensions(vectors: DataFrame, vector: str) -> DataFrame:
     return vectors.groupBy(F.size(vector).cast("long").alias("dim")).agg(F.count("*").alias("vectors"))
 
 
-def _blocks(vectors: DataFrame, key: str, vector: str, by: list[str], n: int) -> tuple[DataFrame, DataFrame]:
-    base = vectors.select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("v"), *by).withColumn("own", F.pmod(F.xxhash64("key"), F.lit(n)).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    return base.withColumn("i", F.col("own")).withColumn("j", other).drop("own"), base.withColumn("j", F.col("own")).withColumn("i", other).drop("own")
-
-
-def _pairs(vectors: DataFrame, key: str, vector: str, by: list[str], least: float, top: int | None, one_way: bool, queries: DataFrame | None = None) -> DataFrame:
-    """``(a, b, cosine)`` of pairs in blocks against blocks, those of the same ``by`` alone; within a block each row's best ``top``."""
-    n = max(1, -(-vectors.count() // _BLOCK))
-    left, right = _blocks(vectors, key, vector, by, n)
-    if queries is not None:
-        left = _blocks(queries, key, vector, by, n)[0]
-
-    def compare(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        out = {"a": [], "b": [], "cosine": []}
-        if len(x) and len(y):
-            p, q = np.stack(x["v"].to_numpy()), np.stack(y["__wl_v"].to_numpy())
-            p, q = (m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300) for m in (p, q))
-            ka, kb = x["key"].to_numpy(), y["__wl_key"].to_numpy()
-            for at in range(0, len(p), 512):
-                s = p[at : at + 512] @ q.T
-                good = (s >= least) & (ka[at : at + 512, None] < kb[None, :] if one_way else ka[at : at + 512, None] != kb[None, :])
-                for i in np.flatnonzero(good.any(1)):
-                    js = np.flatnonzero(good[i])
-                    if top is not None and len(js) > top:
-                        js = js[np.lexsort((kb[js], -s[i, js]))[:top]]
-                    out["a"] += [ka[at + i]] * len(js)
-                    out["b"] += kb[js].tolist()
-                    out["cosine"] += s[i, js].tolist()
-        return pd.DataFrame(out)
+def _unit(some: pd.Series) -> np.ndarray:
+    x = np.stack(some.to_numpy()).astype(np.float64)
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+
+
+def _plain(vectors: DataFrame, key: str, vector: str, by: list[str]) -> DataFrame:
+    return vectors.filter(F.col(vector).isNotNull()).select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("v"), *by)
+
+
+def layout(n: int, least: float, recall: float = RECALL) -> tuple[int, int]:
+    """Tables and bits a table of an index of ``n`` vectors: buckets of about half a block, and tables enough that pairs of cosine ``least`` meet with probability ``recall``.
+
+    Up to four blocks of vectors have one bucket, and then all pairs meet.
+    """
+    if n <= 4 * _BLOCK:
+        return 1, 0
+    bits = max(1, int(np.log2(n / (_BLOCK / 2))))
+    alike = max(0.5, 1 - float(np.arccos(np.clip(least, -1, 1))) / np.pi)
+    return max(1, int(np.ceil(np.log(1 - recall) / np.log1p(-(alike**bits))))), bits
+
+
+def buckets(vector: Column, tables: int, bits: int, seed: int = 7) -> Column:
+    """A vector's bucket in each table: the signs of its products with random directions."""
+    if not bits:
+        return F.array(*[F.lit(0)] * tables)
+
+    @F.pandas_udf("array<int>")
+    def placed(some: pd.Series) -> pd.Series:
+        out: list = [None] * len(some)
+        sizes = some.map(len).to_numpy()
+        for size in np.unique(sizes):
+            at = np.flatnonzero(sizes == size)
+            planes = np.random.default_rng([seed, int(size)]).standard_normal((int(size), tables * bits))
+            signs = (np.stack(some.to_numpy()[at]).astype(np.float64) @ planes > 0).reshape(len(at), tables, bits)
+            for i, row in zip(at, signs @ (1 << np.arange(bits)), strict=True):
+                out[i] = row.astype(np.int32)
+        return pd.Series(out)
+
+    return placed(vector)
+
+
+def index(vectors: DataFrame, key: str, vector: str, least: float, by: list[str] | None = None) -> DataFrame:
+    """``(key, v, *by, d, t, bucket)``: each vector in its bucket of each table; only vectors of the same length meet."""
+    tables, bits = layout(vectors.count(), least)
+    base = _plain(vectors, key, vector, by or []).withColumn("d", F.size("v"))
+    return base.select("*", F.posexplode(buckets(F.col("v"), tables, bits)).alias("t", "bucket"))
+
+
+def search(vectors: DataFrame, queries: DataFrame, key: str, vector: str, k: int, least: float = -1.0) -> DataFrame:
+    """``(a, b, cosine, rank)``: each query's ``k`` nearest vectors with another key, exactly, ties to smaller keys.
+
+    Queries are broadcast in blocks of bounded size. Vectors stay where they
+    are, and a task sends its best ``k`` for each query of a block.
+    """
+    kind, base, found = dict(vectors.dtypes)[key], _plain(vectors, key, vector, []), None
+    for block in _in_blocks(_plain(queries, key, vector, [])):
+        sent = vectors.sparkSession.sparkContext.broadcast(block)
+
+        def run(parts: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
+            ka, p = sent.value
+            held = [(np.zeros(0), np.zeros(0, ka.dtype)) for _ in ka]
+            for part in parts:
+                part = part[part["v"].map(len).to_numpy() == p.shape[1]]
+                if not len(part):
+                    continue
+                kb, s = part["key"].to_numpy(), p @ _unit(part["v"]).T
+                for i in range(len(ka)):
+                    good = np.flatnonzero((s[i] >= least) & (kb != ka[i]))
+                    scores, keys = np.r_[held[i][0], s[i, good]], np.r_[held[i][1], kb[good]]
+                    best = np.lexsort((keys, -scores))[:k]
+                    held[i] = scores[best], keys[best]
+            sizes = [len(x) for x, _ in held]
+            yield pd.DataFrame({"a": np.repeat(ka, sizes), "b": np.concatenate([x for _, x in held]).astype(ka.dtype), "cosine": np.concatenate([x for x, _ in held])})
+
+        part = base.mapInPandas(run, f"a {kind}, b {kind}, cosine double")
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        return vectors.sparkSession.createDataFrame([], f"a {kind}, b {kind}, cosine double, rank int")
+    best = Window.partitionBy("a").orderBy(F.desc("cosine"), "b")
+    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
-    kind = dict(vectors.dtypes)[key]
-    # Own names throughout: both sides come from one plan, and shared columns would be taken for each other.
-    right = right.select(*[F.col(c).alias(f"__wl_{c}") for c in right.columns])
-    return left.groupBy(*by, "i", "j").cogroup(right.groupBy(*[f"__wl_{c}" for c in (*by, "i", "j")])).applyInPandas(compare, f"a {kind}, b {kind}, cosine double")
+
+def _in_blocks(rows: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys and unit vectors of one length, in blocks of bounded size."""
+    held: dict[int, list] = {}
+    for row in rows.toLocalIterator():
+        some = held.setdefault(len(row["v"]), [])
+        some.append((row["key"], row["v"]))
+        if len(some) >= _QUERIES:
+            yield np.array([a for a, _ in some]), _unit(pd.Series([b for _, b in some]))
+            some.clear()
+    for some in held.values():
+        if some:
+            yield np.array([a for a, _ in some]), _unit(pd.Series([b for _, b in some]))
 
 
 def nearest(vectors: DataFrame, key: str, vector: str, k: int = 10, least: float = -1.0, queries: DataFrame | None = None) -> DataFrame:
-    """``(a, b, cosine, rank)``: each vector's ``k`` nearest others with at least cosine ``least``, ties to smaller keys."""
+    """``(a, b, cosine, rank)``: the ``k`` nearest others, with at least cosine ``least``, of each vector or of ``queries``; ties to smaller keys.
+
+    Up to ``_SCANNED`` queries are compared with all vectors. Neighbours of all
+    of more vectors come from the index, and so need a positive ``least``.
+    """
+    asking = vectors if queries is None else queries
+    if queries is not None or least <= 0 or vectors.count() <= _SCANNED:
+        return search(vectors, asking, key, vector, k, least)
+    pairs = similar_pairs(vectors, key, vector, least)
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "cosine"))
     best = Window.partitionBy("a").orderBy(F.desc("cosine"), "b")
-    return _pairs(vectors, key, vector, [], least, k, False, queries).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return both.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
 def similar_pairs(vectors: DataFrame, key: str, vector: str, least: float, by: list[str] | None = None) -> DataFrame:
-    """``(a, b, cosine)`` of all pairs ``a < b`` with at least cosine ``least``, those of the same ``by`` alone."""
-    return _pairs(vectors, key, vector, by or [], least, None, True)
+    """``(a, b, cosine)`` of pairs ``a < b`` with at least cosine ``least``, those of the same ``by`` alone.
+
+    Vectors meet in the buckets of the index, so a vector is moved once for each
+    table, however many there are; pairs are then checked exactly. Up to four
+    blocks of vectors all pairs meet; beyond, each with probability ``RECALL``
+    or more. Large buckets are dealt out as pairs of blocks.
+    """
+    by = by or []
+    placed = index(vectors, key, vector, least, by)
+    ways = [*by, "d", "t", "bucket"]
+    sizes = placed.groupBy(*ways).agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("k")).filter("k > 1")
+    sizes = sizes.select(*[F.col(c).alias(f"__wl_{c}") for c in ways], "k")
+    rows = placed.join(sizes, [F.col(c).eqNullSafe(F.col(f"__wl_{c}")) for c in ways], "left").withColumn("k", F.coalesce("k", F.lit(1)))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("key"), F.col("k")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    rows = rows.withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other"))
+
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
+        keys, unit, own = part["key"].to_numpy(), _unit(part["v"]), part["own"].to_numpy()
+        across = part["x"].iloc[0] != part["y"].iloc[0]
+        out: list[list] = [[], [], []]
+        for at in range(0, len(unit), 512):
+            s = unit[at : at + 512] @ unit.T
+            good = (s >= least) & (keys[at : at + 512, None] < keys[None, :])
+            if across:
+                good &= own[at : at + 512, None] != own[None, :]
+            i, j = np.nonzero(good)
+            for to, some in zip(out, (keys[at + i], keys[j], s[i, j]), strict=True):
+                to.append(some)
+        return pd.DataFrame({c: np.concatenate(x) for c, x in zip(("a", "b", "cosine"), out, strict=True)})
+
+    kind = dict(vectors.dtypes)[key]
+    found = rows.groupBy(*ways, "x", "y").applyInPandas(compare, f"a {kind}, b {kind}, cosine double")
+    return found.groupBy("a", "b").agg(F.max("cosine").alias("cosine"))
 
 
 def bands(pairs: DataFrame, certain: float = 0.92, uncertain: float = 0.75) -> DataFrame:
@@ -74,7 +178,8 @@ def bands(pairs: DataFrame, certain: float = 0.92, uncertain: float = 0.75) -> D
     return pairs.withColumn("band", F.when(F.col("cosine") >= certain, "certain").when(F.col("cosine") >= uncertain, "uncertain").otherwise("apart"))
 
 
-def similar_components(vectors: DataFrame, key: str, vector: str, least: float, by: list[str] | None = None) -> DataFrame:
-    """``(key, cluster)`` of every vector: its component under pairs of at least ``least``."""
-    found = connected_components(similar_pairs(vectors, key, vector, least, by), "a", "b")
+def similar_components(vectors: DataFrame, key: str, vector: str, least: float, by: list[str] | None = None, allowed=None) -> DataFrame:
+    """``(key, cluster)`` of every vector: its component under pairs of at least ``least``; ``allowed`` may take pairs ``(a, b, cosine)`` out, as a guard of antonyms does."""
+    pairs = similar_pairs(vectors, key, vector, least, by)
+    found = connected_components(allowed(pairs) if allowed else pairs, "a", "b")
     return vectors.select(key).join(found.withColumnRenamed("node", key), key, "left").select(key, F.coalesce("component", key).alias("cluster"))

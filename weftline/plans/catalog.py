@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import spread
 from ..sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +22,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return table(self.spark, self.folder, name)
 
+    def texts(self, *columns: str) -> DataFrame:
+        """These columns of ``documents``, on all cores if the table is small."""
+        return spread(self.documents.select(*columns))
+
 
 def query(sql: str | None):
     """Registers a function of ``Tables`` under its name."""

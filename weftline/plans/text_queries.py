@@ -41,12 +41,12 @@ REASON = f"CASE WHEN length({STRIP('text')}) < 80 THEN 'near_blank' ELSE 'kept'
 
 @query(f"SELECT doc_id, source, {REASON} AS reason FROM documents")
 def page_filter(t):
-    return pages.drop_reasons(t.documents, "text").select("doc_id", "source", "reason")
+    return pages.drop_reasons(t.texts("doc_id", "source", "text"), "text").select("doc_id", "source", "reason")
 
 
 @query(f"SELECT source, {REASON} AS reason, count(*) AS pages FROM documents GROUP BY ALL")
 def drop_counts(t):
-    return pages.drop_reasons(t.documents, "text").groupBy("source", "reason").agg(F.count("*").alias("pages"))
+    return pages.drop_reasons(t.texts("source", "text"), "text").groupBy("source", "reason").agg(F.count("*").alias("pages"))
 
 
 def _share(pattern: str) -> str:
@@ -66,33 +66,33 @@ CLASS = f"""CASE WHEN length({STRIP('text')}) < 80 THEN 'near_blank'
 
 @query(f"SELECT doc_id, {CLASS} AS page_class FROM documents")
 def page_classify(t):
-    return t.documents.select("doc_id", tx.page_class(F.col("text")).alias("page_class"))
+    return t.texts("doc_id", "text").select("doc_id", tx.page_class(F.col("text")).alias("page_class"))
 
 
 @query(f"SELECT page_class, count(*) AS pages FROM (SELECT {CLASS} AS page_class FROM documents) GROUP BY 1")
 def page_class_counts(t):
-    return t.documents.select(tx.page_class(F.col("text")).alias("page_class")).groupBy("page_class").agg(F.count("*").alias("pages"))
+    return t.texts("text").select(tx.page_class(F.col("text")).alias("page_class")).groupBy("page_class").agg(F.count("*").alias("pages"))
 
 
 @query(f"""SELECT doc_id, CAST(n - 1 AS BIGINT) AS line_no, line FROM (SELECT doc_id, unnest({LINES}) AS line, generate_subscripts({LINES}, 1) AS n FROM documents)
     WHERE regexp_matches(lower(line), '{"|".join(LICENCE)}')""")
 def license_lines(t):
-    return chunks.numbered_lines(t.documents, ["doc_id"], "text").filter(F.lower("line").rlike("|".join(LICENCE))).select("doc_id", F.col("n").cast("long").alias("line_no"), "line")
+    return chunks.numbered_lines(t.texts("doc_id", "text"), ["doc_id"], "text").filter(F.lower("line").rlike("|".join(LICENCE))).select("doc_id", F.col("n").cast("long").alias("line_no"), "line")
 
 
 @query(f"WITH {REPEATED} SELECT source, line, pages FROM rep")
 def repeated_lines(t):
-    return pages.repeated_lines(t.documents, "source", "text", 0.10)
+    return pages.repeated_lines(t.texts("source", "text"), "source", "text", 0.10)
 
 
 @query(STRIPPED + " SELECT doc_id, CAST(length(text) AS BIGINT) AS chars, md5(text) AS digest FROM done")
 def strip_repeated_lines(t):
-    return pages.strip_repeated_lines(t.documents, "source", "text", 0.10).select("doc_id", F.length("text").cast("long").alias("chars"), F.md5("text").alias("digest"))
+    return pages.strip_repeated_lines(t.texts("doc_id", "source", "text"), "source", "text", 0.10).select("doc_id", F.length("text").cast("long").alias("chars"), F.md5("text").alias("digest"))
 
 
 @query(STRIPPED + f", gated AS (SELECT source, {GATE} AS gate, greatest(1, length(text) // 4) AS tokens FROM done) SELECT source, count(*) AS pages, CAST(sum(tokens) AS BIGINT) AS tokens FROM gated WHERE gate = 'pass' GROUP BY source")
 def quality_by_source(t):
-    clean = pages.strip_repeated_lines(t.documents.select("doc_id", "source", "text"), "source", "text", 0.10)
+    clean = pages.strip_repeated_lines(t.texts("doc_id", "source", "text"), "source", "text", 0.10)
     return clean.filter(tx.quality_reason(F.col("text")) == "pass").groupBy("source").agg(F.count("*").alias("pages"), F.sum(tx.token_estimate(F.col("text"))).alias("tokens"))
 
 
@@ -104,13 +104,13 @@ def _noise(c: str) -> str:
 
 @query(f"SELECT doc_id, CAST(length(x) AS BIGINT) AS chars, md5(x) AS digest FROM (SELECT doc_id, {_noise('text')} AS x FROM documents)")
 def strip_inline_noise(t):
-    return t.documents.select("doc_id", tx.strip_inline_noise(F.col("text")).alias("x")).select("doc_id", F.length("x").cast("long").alias("chars"), F.md5("x").alias("digest"))
+    return t.texts("doc_id", "text").select("doc_id", tx.strip_inline_noise(F.col("text")).alias("x")).select("doc_id", F.length("x").cast("long").alias("chars"), F.md5("x").alias("digest"))
 
 
 @query(f"""SELECT doc_id, CAST(length(x) AS BIGINT) AS chars, md5(x) AS digest FROM (SELECT doc_id,
     {STRIP("regexp_replace(regexp_replace(text, chr(10) || '{3,}', chr(10) || chr(10), 'g'), '(?m)[ " + chr(92) + "t]+$', '', 'g')")} AS x FROM documents)""")
 def normalize_whitespace(t):
-    return t.documents.select("doc_id", tx.normalize_whitespace(F.col("text")).alias("x")).select("doc_id", F.length("x").cast("long").alias("chars"), F.md5("x").alias("digest"))
+    return t.texts("doc_id", "text").select("doc_id", tx.normalize_whitespace(F.col("text")).alias("x")).select("doc_id", F.length("x").cast("long").alias("chars"), F.md5("x").alias("digest"))
 
 
 INLINE_NOISE = r"(?i)^\s*(page\s+)?\d{1,4}\s*$|^\s*\|?[\s:|-]*-{3,}[\s:|-]*\|?\s*$|^\s*[-– ]*confidential[-– ]*\s*$"
@@ -118,7 +118,7 @@ INLINE_NOISE = r"(?i)^\s*(page\s+)?\d{1,4}\s*$|^\s*\|?[\s:|-]*-{3,}[\s:|-]*\|?\s
 
 @query(f"""SELECT doc_id, md5(regexp_replace(array_to_string([x FOR x IN {LINES} IF NOT regexp_matches(x, '{INLINE_NOISE}')], chr(10)), '(?i)<br\\s*/?>', ' ', 'g')) AS digest FROM documents""")
 def inline_clean(t):
-    return t.documents.select("doc_id", F.md5(tx.inline_clean(F.col("text"))).alias("digest"))
+    return t.texts("doc_id", "text").select("doc_id", F.md5(tx.inline_clean(F.col("text"))).alias("digest"))
 
 
 @query(f"""WITH l AS (SELECT doc_id, unnest({LINES}) AS line, generate_subscripts({LINES}, 1) AS n FROM documents),
@@ -126,7 +126,7 @@ def inline_clean(t):
     SELECT doc_id, md5(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT (length({STRIP('line')}) <= 40 AND regexp_matches({STRIP('line')}, '{tx.CAPTION}') AND before = '' AND after = '')), '')) AS digest
     FROM w GROUP BY doc_id""")
 def orphan_captions(t):
-    return t.documents.select("doc_id", F.md5(tx.drop_orphan_captions(F.col("text"))).alias("digest"))
+    return t.texts("doc_id", "text").select("doc_id", F.md5(tx.drop_orphan_captions(F.col("text"))).alias("digest"))
 
 
 @query("SELECT doc_id, CAST(greatest(1, length(text) // 4) AS BIGINT) AS tokens FROM documents")
@@ -136,7 +136,7 @@ def token_estimate(t):
 
 @query(f"SELECT doc_id, {GATE} AS gate FROM documents")
 def quality_gate(t):
-    return t.documents.select("doc_id", tx.quality_reason(F.col("text")).alias("gate"))
+    return t.texts("doc_id", "text").select("doc_id", tx.quality_reason(F.col("text")).alias("gate"))
 
 
 MAILS = "list_distinct(regexp_extract_all(text, '\\d+@mail\\d'))"
@@ -151,12 +151,12 @@ def _chunk_class():
 
 @query(f"SELECT doc_id, {CHUNK_CLASS} AS chunk_class FROM (SELECT *, {CLASS} AS page_class FROM documents)")
 def chunk_classify(t):
-    return t.documents.select("doc_id", _chunk_class())
+    return t.texts("doc_id", "text").select("doc_id", _chunk_class())
 
 
 @query(f"SELECT chunk_class, count(*) AS chunks FROM (SELECT {CHUNK_CLASS} AS chunk_class FROM (SELECT *, {CLASS} AS page_class FROM documents)) GROUP BY 1")
 def chunk_type_counts(t):
-    return t.documents.select(_chunk_class()).groupBy("chunk_class").agg(F.count("*").alias("chunks"))
+    return t.texts("text").select(_chunk_class()).groupBy("chunk_class").agg(F.count("*").alias("chunks"))
 
 
 STRIDE = """SELECT doc_id, source, CAST(i AS BIGINT) AS chunk_index, substr(text, CAST(i AS BIGINT) * 2512 + 1, 3024) AS chunk FROM (
@@ -166,7 +166,7 @@ CHUNK_ID = "concat(source, '_', substr(md5(lang), 1, 6), '_p', lpad(CAST(doc_id
 
 @query(f"SELECT doc_id, chunk_index, CAST(length(chunk) AS BIGINT) AS chars, md5(chunk) AS digest FROM ({STRIDE})")
 def fixed_stride_chunks(t):
-    return chunks.fixed_stride(t.documents, ["doc_id"], "text").select("doc_id", F.col("chunk_index").cast("long").alias("chunk_index"), F.length("chunk").cast("long").alias("chars"), F.md5("chunk").alias("digest"))
+    return chunks.fixed_stride(t.texts("doc_id", "text"), ["doc_id"], "text").select("doc_id", F.col("chunk_index").cast("long").alias("chunk_index"), F.length("chunk").cast("long").alias("chars"), F.md5("chunk").alias("digest"))
 
 
 @query(f"SELECT doc_id, chunk_index, {CHUNK_ID} AS chunk_id FROM (SELECT s.*, d.lang FROM ({STRIDE}) s JOIN (SELECT doc_id, lang FROM documents) d USING (doc_id))")
@@ -180,7 +180,7 @@ KEPT_CHUNKS = f"SELECT source, doc_id, chunk_index, concat(source, '_p', lpad(CA
 
 @query(f"SELECT chunk_id, lag(chunk_id) OVER w AS prev_chunk_id, lead(chunk_id) OVER w AS next_chunk_id FROM ({KEPT_CHUNKS}) WINDOW w AS (PARTITION BY source ORDER BY doc_id, chunk_index)")
 def chunk_links(t):
-    cut = chunks.fixed_stride(t.documents, ["doc_id", "source"], "text").filter(tx.quality_reason(F.col("chunk")) == "pass")
+    cut = chunks.fixed_stride(t.texts("doc_id", "source", "text"), ["doc_id", "source"], "text").filter(tx.quality_reason(F.col("chunk")) == "pass")
     named = cut.select("source", "doc_id", "chunk_index", tx.chunk_id(F.col("source"), F.col("doc_id"), F.col("chunk_index")).alias("chunk_id"))
     return chunks.chunk_links(named, "source", ["doc_id", "chunk_index"], "chunk_id").select("chunk_id", "prev_chunk_id", "next_chunk_id")
 
@@ -189,7 +189,7 @@ def chunk_links(t):
     h AS (SELECT *, regexp_matches(line, '^Licensed under') AS head FROM l), s AS (SELECT *, sum(CAST(head AS INT)) OVER (PARTITION BY doc_id ORDER BY n) AS section FROM h)
     SELECT doc_id, CAST(section AS BIGINT) AS section, max(CASE WHEN head THEN {STRIP("regexp_extract(line, '^(L)icensed (.*)$', 2)")} END) AS h1, md5(string_agg(line, chr(10) ORDER BY n)) AS digest FROM s GROUP BY doc_id, section""")
 def heading_sections(t):
-    cut = chunks.heading_sections(t.documents, ["doc_id"], "text", r"^(L)icensed (under.*)$", 1)
+    cut = chunks.heading_sections(t.texts("doc_id", "text"), ["doc_id"], "text", r"^(L)icensed (under.*)$", 1)
     return cut.select("doc_id", F.col("section").cast("long").alias("section"), "h1", F.md5("body").alias("digest"))
 
 
@@ -200,14 +200,14 @@ PIPED = f"""WITH l AS (SELECT doc_id, unnest({LINES}) AS line, generate_subscrip
 
 @query(PIPED + " SELECT doc_id, CAST(island AS BIGINT) AS island, flag AS is_table, CAST(min(n) AS BIGINT) AS first, count(*) AS size, md5(string_agg(line, chr(10) ORDER BY n)) AS digest FROM i GROUP BY doc_id, island, flag")
 def table_segments(t):
-    cut = chunks.table_segments(t.documents, ["doc_id"], "text", r"\|")
+    cut = chunks.table_segments(t.texts("doc_id", "text"), ["doc_id"], "text", r"\|")
     return cut.select("doc_id", F.col("island").cast("long").alias("island"), "is_table", F.col("first").cast("long").alias("first"), "size", F.md5("segment").alias("digest"))
 
 
 @query(PIPED + f""" SELECT doc_id, CAST(n AS BIGINT) AS n, CAST(i AS BIGINT) AS cell_no, {STRIP('cell')} AS cell FROM (
     SELECT doc_id, n, unnest(c) AS cell, generate_subscripts(c, 1) - 1 AS i FROM (SELECT doc_id, n, string_split(regexp_replace({STRIP('line')}, '^\\|+|\\|+$', '', 'g'), '|') AS c FROM i WHERE flag))""")
 def pipe_tables(t):
-    rows = chunks.numbered_lines(t.documents, ["doc_id"], "text").filter(F.col("line").contains("|"))
+    rows = chunks.numbered_lines(t.texts("doc_id", "text"), ["doc_id"], "text").filter(F.col("line").contains("|"))
     return rows.select("doc_id", F.col("n").cast("long").alias("n"), F.posexplode(chunks.cells(F.col("line"))).alias("i", "cell")).select("doc_id", "n", F.col("i").cast("long").alias("cell_no"), "cell")
 
 
@@ -216,7 +216,7 @@ def pipe_tables(t):
     r AS (SELECT *, CASE WHEN a > max(b) OVER (PARTITION BY doc_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 80 OR row_number() OVER (PARTITION BY doc_id ORDER BY a, b) = 1 THEN 1 ELSE 0 END AS new FROM s),
     g AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY a, b) AS run FROM r) SELECT doc_id, CAST(min(a) AS BIGINT) AS first, CAST(max(b) AS BIGINT) AS last FROM g GROUP BY doc_id, run""")
 def context_windows(t):
-    hits = t.documents.select("doc_id", "text", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"\d+@mail\d"), F.lit(0)))).alias("hit"))
+    hits = t.texts("doc_id", "text").select("doc_id", "text", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"\d+@mail\d"), F.lit(0)))).alias("hit"))
     hits = hits.select("doc_id", (F.instr("text", F.col("hit")) - 1).alias("at"), F.length("hit").alias("size"), F.length("text").alias("len"))
     return chunks.context_windows(hits, ["doc_id"], "at", "size", "len").select("doc_id", F.col("first").cast("long").alias("first"), F.col("last").cast("long").alias("last"))
 
@@ -236,9 +236,34 @@ def dedup_nodes(t):
     return first.select("f.*")
 
 
-@query("SELECT a.doc_id AS a, b.doc_id AS b FROM (SELECT min(doc_id) AS doc_id, text, arg_min(source, doc_id) AS source FROM documents GROUP BY text HAVING count(*) > 1) a JOIN documents b ON a.text = b.text WHERE a.source <> b.source")
+EMBED = "[CAST(len([x FOR x IN slots IF x = i]) AS DOUBLE) FOR i IN range(64)]"
+
+
+@query(f"""WITH RECURSIVE edge AS (SELECT source, doc_id, source || chr(31) || lpad(CAST(doc_id AS VARCHAR), 12, '0') AS k,
+        [CAST('0x' || substr(md5(w), 1, 4) AS INT) % 64 FOR w IN regexp_extract_all(lower(substr(text, 1, 500)), '[\\p{{L}}\\p{{N}}_]+')] AS slots FROM ({EDGE}) WHERE u <= 3 OR d <= 3),
+    v AS (SELECT source, doc_id, row_number() OVER (ORDER BY k) AS n, {EMBED} AS v FROM edge WHERE len(slots) > 0),
+    p AS (SELECT a.n AS a, b.n AS b FROM v a JOIN v b ON a.n < b.n AND a.source <> b.source WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+    e AS (SELECT b, list(a) AS earlier FROM p GROUP BY b),
+    o AS (SELECT *, row_number() OVER (ORDER BY b) AS step FROM e),
+    fold AS (SELECT 0 AS step, CAST([] AS BIGINT[]) AS gone UNION ALL
+        SELECT fold.step + 1, CASE WHEN len([x FOR x IN o.earlier IF NOT list_contains(fold.gone, x)]) > 0 THEN list_append(fold.gone, o.b) ELSE fold.gone END FROM fold JOIN o ON o.step = fold.step + 1)
+    SELECT source, doc_id FROM v WHERE list_contains((SELECT gone FROM fold ORDER BY step DESC LIMIT 1), n)""")
 def near_dup_pages(t):
-    """Pages equal to an earlier page of another file, in the form that holds for any size: each meets the first of its text, never all others."""
+    """Edge pages that repeat an earlier source's: greedy, keep first, cosine of 0.95 or more between the first 500 characters."""
+    return pages.boilerplate(t.texts("source", "doc_id", "text"), "source", "doc_id", "text", tx.embedding)
+
+
+@query("SELECT a.doc_id AS a, b.doc_id AS b FROM (SELECT min(doc_id) AS doc_id, text, arg_min(source, doc_id) AS source FROM documents GROUP BY text HAVING count(*) > 1) a JOIN documents b ON a.text = b.text WHERE a.source <> b.source")
+def equal_pages(t):
+    """Pages equal to an earlier page of another file: each meets the first of its text, never all others."""
     keyed = t.documents.select("doc_id", "source", F.sha2("text", 256).alias("key"))
     first = keyed.groupBy("key").agg(F.min(F.struct("doc_id", "source")).alias("f"), F.count("*").alias("n")).filter("n > 1")
     return keyed.join(first, "key").filter("source <> f.source").select(F.col("f.doc_id").alias("a"), F.col("doc_id").alias("b"))
+
+
+@query(f"""SELECT source, doc_id, CAST(i - 1 AS BIGINT) AS at, round(x / sqrt(list_sum([y * y FOR y IN v])), 6) AS value FROM (SELECT source, doc_id, v, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM (SELECT source, doc_id, {EMBED} AS v
+    FROM (SELECT source, doc_id, [CAST('0x' || substr(md5(w), 1, 4) AS INT) % 64 FOR w IN regexp_extract_all(lower(substr(text, 1, 500)), '[\\p{{L}}\\p{{N}}_]+')] AS slots FROM documents) WHERE len(slots) > 0))""")
+def text_embedding(t):
+    """The vectors that stand in for a model's."""
+    made = t.texts("source", "doc_id", "text").select("source", "doc_id", tx.embedding(F.substring("text", 1, 500)).alias("v"))
+    return made.select("source", "doc_id", F.posexplode("v").alias("at", "value")).select("source", "doc_id", F.col("at").cast("long").alias("at"), F.round("value", 6).alias("value"))

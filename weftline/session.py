@@ -55,10 +55,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def table_bytes(df: DataFrame) -> int:
-    """Catalyst's estimate of the size of ``df``: an upper bound for plain scans, used before any broadcast."""
+    """Catalyst's estimate of the size of ``df``: an upper bound for plain scans."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def spread(df: DataFrame, each: int = 4 << 20) -> DataFrame:
+    """A table of less than ``each`` bytes a core dealt out over all cores; a larger one as it is.
+
+    A scan gives a row group to one task, so a small file with one group would
+    keep one core busy. A table of many groups is never moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if table_bytes(df) < each * cores else df
+
+
 def width(spark: SparkSession) -> int:
     """The number of partitions that shuffles are set to."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
