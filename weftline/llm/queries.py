@@ -73,6 +73,6 @@ ORACLE_SQL: dict[str, str] = {
             UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
         SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
             CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-            CAST(sum(15 + length({_ESCAPED.format('role', chr(92) * 2 + '#<:')}) + length({_ESCAPED.format('text', chr(92) * 2 + '#<')})) AS BIGINT) AS formatted_chars
+            CAST(sum(15 + length({_ESCAPED.format('role', chr(92) * 2 + '#<:')}) + length({_ESCAPED.format('text', chr(92) * 2 + '#<')})) AS BIGINT) AS formatted_chars, false AS rewrites
         FROM c GROUP BY conv_id""",
 }
