@@ -10,6 +10,7 @@ it. A file has its documents' ids and starts, so it stands alone.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import os
 import struct
@@ -17,7 +18,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +26,8 @@ from .text import Table, flat, named, slices
 
 #: Tokens after which a file ends with the document that passes them.
 FILE_TOKENS = 1 << 20
+#: Ranges of ids for each shuffle partition, rows sampled for each range, and rows sampled at most.
+_RANGES, _SAMPLED, _MOST = 4, 20, 1_000_000
 _MAGIC, _BLOCK = b"WLDAC01\n", 512
 _LOWER = np.array([i + 32 if 65 <= i <= 90 else i for i in range(256)], np.uint8)
 #: 0 white space, 1 letters, 2 digits, 3 punctuation; 4 is all that a cut may not touch.
@@ -166,19 +168,33 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def _edges(rows: DataFrame, parts: int) -> list[tuple]:
+    """At most ``parts - 1`` keys ``(not null, id, tie)`` that cut the rows into ranges of about the same size, from a sample by hash of some rows a part."""
+    every = max(1, rows.count() // (parts * _SAMPLED))
+    chosen = rows.filter(F.pmod(F.xxhash64("id", "tie"), F.lit(every)) == 0).select("id", "tie").limit(_MOST)
+    keys = sorted(_key(r["id"], r["tie"]) for r in chosen.collect())
+    return sorted({keys[i * len(keys) // parts] for i in range(1, parts)}) if keys else []
+
+
+def _key(name: int | None, tie: int) -> tuple:
+    return name is not None, name or 0, tie
+
+
 def _encoded(docs: DataFrame, path: str, id_col: str, text_col: str) -> DataFrame:
-    """``(id, tie, ids)`` of each row: its id, a hash of its text, its token ids, in two bytes each if all of the vocabulary fit and else in four."""
+    """``(part, id, tie, ids)`` of each row: its range of ids, its id, a hash of its text, its token ids, in two bytes each if all of the vocabulary fit and else in four."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).alias("text"))
+    edges = docs.sparkSession.sparkContext.broadcast(_edges(rows, width(docs.sparkSession) * _RANGES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = encoder(path)
+        made, cuts = encoder(path), edges.value
         kind = _kind(made.tokenizer.get_vocab_size())
         for batch in slices(batches, "text"):
             ids, bounds = made.encode_flat(*flat(batch.column("text")))
+            parts = [bisect.bisect_right(cuts, _key(*k)) for k in zip(batch.column("id").to_pylist(), batch.column("tie").to_pylist(), strict=True)]
             column = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer((bounds * np.dtype(kind).itemsize).astype("<i4").tobytes()), pa.py_buffer(ids.astype(kind).tobytes())])
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("tie"), column], ["id", "tie", "ids"])
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), batch.column("id"), batch.column("tie"), column], ["part", "id", "tie", "ids"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "id long, tie long, ids binary")
+    return rows.mapInArrow(run, "part int, id long, tie long, ids binary")
 
 
 def _kind(size: int) -> str:
@@ -194,10 +210,9 @@ def write_tokens(docs: DataFrame, path: str, end_id: int = 1, id_col: str = "doc
     are written in the shared folder, a file of the format in each row. Texts
     are encoded where they are read; only ids move.
     """
-    encoded = written(_encoded(docs, path, id_col, text_col), "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind, part = None, TaskContext.get().partitionId()
+        kind, part = None, None
         names, held, sizes, seq, total = [], [], [], 0, 0
 
         def file() -> pa.RecordBatch:
@@ -206,20 +221,21 @@ def write_tokens(docs: DataFrame, path: str, end_id: int = 1, id_col: str = "doc
 
         for batch in batches:
             kind = kind or _kind(encoder(path).tokenizer.get_vocab_size())
-            for name, ids in zip(batch.column("id").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+            for own, name, ids in zip(*(batch.column(c).to_pylist() for c in ("part", "id", "ids")), strict=True):
+                if names and (total >= FILE_TOKENS or own != part):
+                    yield file()
+                    names, held, sizes, seq, total = [], [], [], seq + 1, 0
+                seq, part = (seq if own == part else 0), own
                 ids = np.frombuffer(ids, kind)
                 names.append(name)
                 held += [ids.astype(np.uint32), np.array([end_id], np.uint32)]
                 sizes.append(len(ids) + 1)
                 total += len(ids) + 1
-                if total >= FILE_TOKENS:
-                    yield file()
-                    names, held, sizes, seq, total = [], [], [], seq + 1, 0
         if names:
             yield file()
 
-    dealt = encoded.repartitionByRange(width(docs.sparkSession), "id", "tie").sortWithinPartitions("id", "tie")
-    return written(dealt.select("id", "ids").mapInArrow(run, "part int, seq int, n_tokens long, file binary"), "tokens")
+    dealt = _encoded(docs, path, id_col, text_col).repartition(width(docs.sparkSession), "part").sortWithinPartitions("part", "id", "tie")
+    return written(dealt.select("part", "id", "ids").mapInArrow(run, "part int, seq int, n_tokens long, file binary"), "tokens")
 
 
 def bases(files: DataFrame) -> DataFrame:
