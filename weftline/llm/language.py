@@ -119,8 +119,10 @@ def identify(evidence: DataFrame, model: Model) -> DataFrame:
     """``(row, lang, confidence, text_lang, declared, host)`` for each row of evidence.
 
     Ties go to the language that comes first in the alphabet. A row without
-    letters is decided by its declaration and its host alone. Missing
-    declarations say nothing. Null addresses share the empty host. Without any
+    letters is decided by its declaration and its host alone; so is one with a
+    null content. Null rows' ids stay null, repeated rows count and are returned
+    as often as they occur, and no rows give none. Missing declarations say
+    nothing. Null addresses share the empty host. Without any
     fitted language ``lang`` is null.
     """
     names, sent = model.languages, evidence.sparkSession.sparkContext.broadcast(model)
@@ -139,7 +141,7 @@ def identify(evidence: DataFrame, model: Model) -> DataFrame:
     each = [F.sum(F.col("p")[j]).alias(f"n{j}") for j in range(len(names))]
     vector = F.array(*[F.col(f"n{j}") for j in range(len(names))])
     sums = {level: first.groupBy(*levels[i:]).agg(*each).select(*levels[i:], vector.alias(f"at_{level}")) for i, level in enumerate(levels)}
-    whole = first.groupBy().agg(*each).select(vector).first()[0] or [0.0] * len(names)
+    whole = [x or 0.0 for x in first.groupBy().agg(*each).select(vector).first()[0]]
     said = first.groupBy("declared").agg(*each).select("declared", vector.alias("at_declared"))
 
     # Hosts with their domain's and suffix's sums: as many rows as there are hosts, each far smaller than a page.
