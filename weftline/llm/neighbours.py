@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -146,17 +147,34 @@ def search(vectors: DataFrame, is_query: Column, nearest: int = 5, id_col: str =
 
     Candidates are all rows but those with the query's own id. Vectors that are
     null, zero, or hold null or non-finite components take no part, nor do rows
-    with a null id or another length than most have. Ids name vectors: of rows
-    with the same id and vector one counts. A query for which the probes find too
-    few candidates is compared with all rows.
+    with a null id. Only vectors of one length have a cosine. The commonest
+    length, and each of more than ``SAMPLE`` vectors, is hashed on its own;
+    queries of the others are compared with all of their length. Ids name
+    vectors: of rows with the same id and vector one counts. A query for which
+    the probes find too few candidates is compared with all rows. An empty table
+    gives none.
     """
     spark = vectors.sparkSession
     plain = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), is_query.alias("asks"))
     plain = plain.filter(F.col("id").isNotNull() & valid(F.col("v")))
-    size = plain.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    if size is None:
+    sizes = plain.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").collect()
+    hashed = [r for i, r in enumerate(sizes) if not i or r["count"] > SAMPLE]
+    found = [_hashed(plain.filter(F.size("v") == r["d"]), r["count"], nearest, tables, target) for r in hashed]
+    if len(hashed) < len(sizes):
+        rest = plain.filter(~F.size("v").isin([r["d"] for r in hashed]))
+        found += [written(_scan(rest, block, nearest), "scanned") for block in _blocks(rest.filter("asks").select("id", "v"))]
+    if not found:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    plain, n = plain.filter(F.size("v") == size["d"]), size["count"]
+    whole = found[0]
+    for more in found[1:]:
+        whole = whole.unionByName(more)
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return whole.distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= nearest).select("query_id", "rank", "vec_id", "score")
+
+
+def _hashed(plain: DataFrame, n: int, nearest: int, tables: int, target: float) -> DataFrame:
+    """``(query_id, vec_id, score)``: each task's best candidates of the queries among ``n`` vectors of one length."""
+    spark = plain.sparkSession
     sample = plain.select("v", F.xxhash64("id").alias("h"), "id").orderBy("h", "id").limit(SAMPLE).toPandas()["v"]
     made = fit(np.stack(sample.to_numpy()), n, tables, nearest=nearest, target=target)
     sent = spark.sparkContext.broadcast(made)
@@ -214,34 +232,37 @@ def search(vectors: DataFrame, is_query: Column, nearest: int = 5, id_col: str =
     short = plain.filter("asks").select("id", "v").join(found.groupBy(F.col("query_id").alias("id")).agg(F.count_distinct("vec_id").alias("c")).filter(F.col("c") >= enough), "id", "left_anti")
     for block in _blocks(short):
         found = found.unionByName(written(_scan(plain, block, nearest), "scanned"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= nearest).select("query_id", "rank", "vec_id", "score")
+    return found
 
 
-def _blocks(rows: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Ids and vectors in blocks of bounded size."""
-    ids, vectors = [], []
+def _blocks(rows: DataFrame) -> Iterator[dict[int, tuple[np.ndarray, np.ndarray]]]:
+    """Ids and vectors by length, in blocks of bounded size."""
+    held: dict[int, list] = {}
+    n = 0
     for row in rows.toLocalIterator():
-        ids.append(row["id"])
-        vectors.append(row["v"])
-        if len(ids) >= _BLOCK:
-            yield np.array(ids), np.array(vectors)
-            ids, vectors = [], []
-    if ids:
-        yield np.array(ids), np.array(vectors)
+        held.setdefault(len(row["v"]), []).append((row["id"], row["v"]))
+        n += 1
+        if n >= _BLOCK:
+            yield {d: (np.array([i for i, _ in x]), np.array([v for _, v in x])) for d, x in held.items()}
+            held, n = {}, 0
+    if held:
+        yield {d: (np.array([i for i, _ in x]), np.array([v for _, v in x])) for d, x in held.items()}
 
 
-def _scan(plain: DataFrame, block: tuple[np.ndarray, np.ndarray], nearest: int) -> DataFrame:
-    """A block of queries against all rows."""
+def _scan(plain: DataFrame, block: dict[int, tuple[np.ndarray, np.ndarray]], nearest: int) -> DataFrame:
+    """A block of queries against all rows of their length."""
     sent = plain.sparkSession.sparkContext.broadcast(block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries, x = sent.value
         held: dict[int, list] = {}
         for batch in batches:
-            names = batch.column("id").to_numpy()
-            for q, row in zip(queries.tolist(), cosine(x, np.asarray(batch.column("v").flatten()).reshape(batch.num_rows, -1)), strict=True):
-                _best(held, q, names[names != q], row[names != q], nearest)
+            sizes = pc.list_value_length(batch.column("v")).to_numpy()
+            for d in np.intersect1d(sizes, list(sent.value)).tolist():
+                queries, x = sent.value[d]
+                some = batch.take(pa.array(np.flatnonzero(sizes == d)))
+                names = some.column("id").to_numpy()
+                for q, row in zip(queries.tolist(), cosine(x, np.asarray(some.column("v").flatten()).reshape(-1, d)), strict=True):
+                    _best(held, q, names[names != q], row[names != q], nearest)
         yield _rows(held)
 
     return plain.select("id", "v").mapInArrow(run, "query_id long, vec_id long, score double")
