@@ -156,3 +156,15 @@ def context_windows(hits: DataFrame, keys: list[str], start: str, size: str, len
     begun = spans.withColumn("new", (F.coalesce(F.col("a") > F.max("b").over(before) + gap, F.lit(True))).cast("int"))
     grouped = begun.withColumn("run", F.sum("new").over(Window.partitionBy(*keys).orderBy("a", "b")))
     return grouped.groupBy(*keys, "run").agg(F.min("a").alias("first"), F.max("b").alias("last")).drop("run")
+
+
+def excerpts(pages: DataFrame, keys: list[str], text: str, at: str, size: int, window: int = 450, gap: int = 80, budget: int = 3500, fallback: int = 2500) -> DataFrame:
+    """``(keys, excerpt)``: the stretches round the places ``at``, an array, joined by ``...`` up to ``budget`` characters; without a place the first ``fallback`` characters."""
+    c = F.col(text)
+    merged = F.aggregate(
+        F.array_sort(F.transform(at, lambda x: F.struct(F.greatest(F.lit(0), x - window).alias("a"), F.least(F.length(c), x + size + window).alias("b")))),
+        F.array().cast("array<struct<a:int,b:int>>"),
+        lambda out, x: F.when((F.size(out) > 0) & (x["a"] <= F.element_at(out, -1)["b"] + gap), F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.struct(F.element_at(out, -1)["a"].alias("a"), F.greatest(F.element_at(out, -1)["b"], x["b"]).alias("b"))))).otherwise(F.concat(out, F.array(F.struct(x["a"].alias("a"), x["b"].alias("b"))))),
+    )
+    joined = F.array_join(F.transform(merged, lambda x: F.substr(c, x["a"] + 1, x["b"] - x["a"])), "\n...\n")
+    return pages.select(*keys, F.when(F.coalesce(F.size(at), F.lit(0)) > 0, F.substring(joined, 1, budget)).otherwise(F.substring(text, 1, fallback)).alias("excerpt"))

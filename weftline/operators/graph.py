@@ -18,14 +18,16 @@ def keep_first(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
     return rows.withColumn("__wl_n", F.row_number().over(w)).filter("__wl_n = 1").drop("__wl_n")
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """``old`` with ``new`` merged in by key: columns of ``new`` win where they are not null. Columns of both are kept."""
-    a, b = old.alias("a"), new.alias("b")
+def upsert(old: DataFrame, new: DataFrame, keys: list[str], nulls_remove: bool = False) -> DataFrame:
+    """``old`` with ``new`` merged in by key: columns of ``new`` win where they are not null, or always with ``nulls_remove``. Columns of both are kept."""
+    a, b = old.alias("a"), new.withColumn("__wl_new", F.lit(True)).alias("b")
     on = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
     names = [*old.columns, *[c for c in new.columns if c not in old.columns]]
 
     def pick(c: str) -> Column:
         both = [F.col(f"b.{c}")] * (c in new.columns) + [F.col(f"a.{c}")] * (c in old.columns)
+        if nulls_remove and len(both) == 2 and c not in keys:
+            return F.when(F.col("b.__wl_new"), both[0]).otherwise(both[1]).alias(c)
         return F.coalesce(*both).alias(c)
 
     return a.join(b, on, "full_outer").select(*[pick(c) for c in names])
@@ -100,8 +102,13 @@ def severity(score: Column) -> Column:
     return F.when(score >= 0.7, "critical").when(score >= 0.4, "major").otherwise("minor")
 
 
-def trails(edges: DataFrame, seeds: DataFrame, max_hops: int = 3) -> DataFrame:
-    """``(seed, node, hops, via)``: one row for each trail of up to ``max_hops`` edges, taken both ways, none twice; ``via`` has their types."""
+def trails(edges: DataFrame, seeds: DataFrame, max_hops: int = 3, enough: tuple[DataFrame, DataFrame, int] | None = None) -> DataFrame:
+    """``(seed, node, hops, via)``: one row for each trail of up to ``max_hops`` edges, taken both ways, none twice; ``via`` has their types.
+
+    With ``enough``, ``(owners (question_id, id), wanted (node), limit)``, seeds
+    all of whose owners have met ``limit`` wanted nodes are not followed further,
+    as shorter trails come first.
+    """
     numbered = edges.select("src", "dst", "type").distinct().withColumn("e", F.concat_ws("\x1f", "src", "dst", "type"))
     both = numbered.select("src", "dst", "type", "e").union(numbered.filter("src <> dst").select(F.col("dst").alias("src"), F.col("src").alias("dst"), "type", "e"))
     both = written(both, "edges")
@@ -113,6 +120,12 @@ def trails(edges: DataFrame, seeds: DataFrame, max_hops: int = 3) -> DataFrame:
         front = written(step.select("seed", F.col("dst").alias("node"), F.array_append("used", F.col("e")).alias("used"), F.array_append("via", F.col("type")).alias("via")), "trails")
         part = front.select("seed", "node", F.lit(hop).alias("hops"), "via")
         out = part if out is None else out.union(part)
+        if enough is not None and hop < max_hops:
+            owners, wanted, limit = enough
+            met = out.join(wanted, "node", "left_semi").groupBy("seed").agg(F.count("*").alias("n"))
+            full = owners.withColumnRenamed("id", "seed").join(met, "seed", "left").groupBy("question_id").agg(F.sum(F.coalesce("n", F.lit(0))).alias("n"))
+            open_ = owners.join(full.filter(F.col("n") < limit), "question_id", "left_semi").select(F.col("id").alias("seed")).distinct()
+            front = front.join(open_, "seed", "left_semi")
     return out
 
 
@@ -121,3 +134,40 @@ def audit(nodes: DataFrame, edges: DataFrame, checks: dict[str, Column]) -> Data
     counted = nodes.agg(*[F.count_if(c).alias(k) for k, c in checks.items()])
     stacked = counted.select(F.explode(F.array(*[F.struct(F.lit(k).alias("check"), F.col(k).alias("n")) for k in checks])).alias("x")).select("x.*")
     return stacked.unionByName(isolated(nodes, edges).agg(F.count("*").alias("n")).select(F.lit("isolated").alias("check"), "n"))
+
+
+def merge_counts(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """``(submitted, created, changed)``: what a merge of ``new`` by key does."""
+    met = new.join(old.select(*keys).withColumn("__wl_old", F.lit(1)), keys, "left")
+    return met.agg(F.count("*").alias("submitted"), F.count_if(F.col("__wl_old").isNull()).alias("created"), F.count("__wl_old").alias("changed"))
+
+
+def full_audit(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``(check, n)`` of a stored graph: the eight audits, each by an aggregate or an anti-join; documents may be isolated."""
+    of = lambda label: nodes.filter(F.col("label") == label)
+    ends = lambda end, kind: edges.filter(F.col("type") == kind).select(F.col(end).alias("id"))
+    none = lambda c: F.col(c).isNull() if c in nodes.columns else F.lit(True)
+    apart = {
+        "isolated": isolated(nodes.filter("label <> 'Document'"), edges), "module_without_requirement": of("Module").join(ends("src", "HAS_REQUIREMENT"), "id", "left_anti"),
+        "chunk_without_document": of("Chunk").join(ends("dst", "HAS_CHUNK"), "id", "left_anti"), "chunk_without_module": of("Chunk").join(ends("src", "SOURCED_FROM"), "id", "left_anti"),
+    }
+    requirement, chunk = F.col("label") == "Requirement", F.col("label") == "Chunk"
+    counted = nodes.agg(
+        F.count_if(requirement & (F.coalesce("text", F.lit("")) == "")).alias("requirement_without_text"), F.count_if(chunk & none("embedding")).alias("chunk_without_embedding"),
+        F.count_if(requirement & none("ingested_at")).alias("requirement_without_ingested_at"), F.count_if(requirement & none("confidence_score")).alias("requirement_without_confidence"),
+    )
+    out = counted.select(F.explode(F.array(*[F.struct(F.lit(k).alias("check"), F.col(k).alias("n")) for k in counted.columns])).alias("x")).select("x.*")
+    for name, rows in apart.items():
+        out = out.unionByName(rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("check"), "n"))
+    return out
+
+
+def sample_queries(nodes: DataFrame, edges: DataFrame, least: float = 0.70, paths: int = 20) -> dict[str, DataFrame]:
+    """The views that a new graph is looked at with: labels, modules, paths of references, chunks of modules, low confidence by label."""
+    refs = edges.filter("type = 'REFERENCES'").select("src", "dst")
+    chain = refs.toDF("a", "b").join(refs.toDF("b", "c"), "b").filter("a <> c").select("a", "b", "c").orderBy("a", "b", "c").limit(paths)
+    count = lambda kind, end: edges.filter(F.col("type") == kind).groupBy(F.col(end).alias("module")).agg(F.count("*").alias("n"))
+    return {
+        "labels": nodes.groupBy("label").agg(F.count("*").alias("n")), "requirements_of_modules": count("HAS_REQUIREMENT", "src"), "reference_paths": chain,
+        "chunks_of_modules": count("SOURCED_FROM", "dst"), "low_confidence": nodes.filter(F.col("confidence_score") < least).groupBy("label").agg(F.count("*").alias("n")),
+    }

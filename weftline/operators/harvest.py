@@ -14,14 +14,15 @@ def mentions(pages: DataFrame, file: str, page: str, text: str, pattern: str = i
 
 
 def inventory(found: DataFrame, modules: DataFrame, file: str, page: str, separator: str = "_") -> DataFrame:
-    """``(id, id_type, module, first_file, first_page, occurrences)``: attributes by the first occurrence in order of file and page.
+    """``(id, id_type, module, first_file, first_page, occurrences, places)``: attributes by the first occurrence in order of file and page; ``places`` has each distinct file and page, in order.
 
     ``modules`` has ``(file, module)``; files without one are of module Unknown.
     """
     typed = found.join(modules.select(file, "module"), file, "left").withColumn("module", F.coalesce("module", F.lit("Unknown")))
     first = F.min(F.struct(F.col(file).alias("file"), F.col(page).alias("page"), "module")).alias("first")
-    out = typed.groupBy("id").agg(first, F.count("*").alias("occurrences"))
-    return out.select("id", idf.id_type(F.col("id"), separator).alias("id_type"), idf.id_module(F.col("id"), F.col("first.module"), separator).alias("module"), F.col("first.file").alias("first_file"), F.col("first.page").alias("first_page"), "occurrences")
+    places = F.array_sort(F.collect_set(F.struct(F.col(file).alias("file"), F.col(page).alias("page")))).alias("places")
+    out = typed.groupBy("id").agg(first, F.count("*").alias("occurrences"), places)
+    return out.select("id", idf.id_type(F.col("id"), separator).alias("id_type"), idf.id_module(F.col("id"), F.col("first.module"), separator).alias("module"), F.col("first.file").alias("first_file"), F.col("first.page").alias("first_page"), "occurrences", "places")
 
 
 def cooccurring(found: DataFrame, file: str, page: str, most: int = 15) -> DataFrame:

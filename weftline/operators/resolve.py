@@ -73,3 +73,47 @@ def remap_edges(edges: DataFrame, aliases: DataFrame, src: str = "src", dst: str
     a, b = (aliases.select(F.col("old").alias(e), F.col("new").alias(f"__wl_{e}")) for e in (src, dst))
     out = edges.join(a, src, "left").join(b, dst, "left").withColumn(src, F.coalesce(f"__wl_{src}", src)).withColumn(dst, F.coalesce(f"__wl_{dst}", dst))
     return out.filter(F.col(src) != F.col(dst)).select(*edges.columns).distinct()
+
+
+def normal_name(name: Column) -> Column:
+    """The form that spellings of one name share: no type in front, words apart, lower case, blanks collapsed."""
+    bare = F.coalesce(F.nullif(F.regexp_extract(F.trim(name), PREFIXED, 2), F.lit("")), F.trim(name))
+    apart = F.regexp_replace(F.regexp_replace(bare, r"[_\-\s]+", " "), r"(?<=[a-z0-9])(?=[A-Z])", " ")
+    return F.lower(F.trim(apart))
+
+
+def spelling_names(nodes: DataFrame, name: str) -> DataFrame:
+    """``(alias, canonical)``: of the spellings of each normal name the most frequent one, ties to the smallest, for those that have several."""
+    counts = nodes.filter(F.col(name).isNotNull()).groupBy(F.col(name).alias("alias")).agg(F.count("*").alias("n")).withColumn("form", normal_name(F.col("alias")))
+    best = counts.groupBy("form").agg(F.min_by("alias", F.struct(-F.col("n"), F.col("alias"))).alias("canonical"), F.count("*").alias("spellings")).filter("spellings > 1")
+    return counts.join(best, "form").filter("alias <> canonical").select("alias", "canonical")
+
+
+def merge_properties(nodes: DataFrame, cluster: list[str], order: str, properties: list[str], name: str) -> DataFrame:
+    """``(cluster, properties, aliases)``: of each property the last value, in order, that is not null; names once each in order of first sight."""
+    last = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in properties]
+    seen = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order), F.col(name).alias("n")))), lambda x: x["n"])
+    return nodes.groupBy(*cluster).agg(*last, F.array_distinct(seen).alias("aliases"))
+
+
+def override(nodes: DataFrame, key: list[str], order: str, name: str, aliases: str) -> DataFrame:
+    """The first node of each key, in order, with the names and aliases of the others added to its own."""
+    first = nodes.groupBy(*key).agg(F.min_by(F.struct(*[c for c in nodes.columns if c not in (*key, aliases)]), order).alias("f"), F.array_sort(F.collect_list(F.struct(F.col(order), F.array_append(F.coalesce(aliases, F.array().cast("array<string>")), F.col(name)).alias("a")))).alias("all"))
+    every = F.array_distinct(F.flatten(F.transform("all", lambda x: x["a"])))
+    return first.select(*key, "f.*", F.array_remove(every, F.col(f"f.{name}")).alias(aliases)).select(*nodes.columns)
+
+
+def merge_prefixed(nodes: DataFrame, edges: DataFrame, key: str = "id", name: str = "name") -> tuple[DataFrame, DataFrame]:
+    """Nodes named ``Concept_X`` and the like become the first node named ``X``; edges move."""
+    aliases = prefix_pairs(nodes, key, name).groupBy(F.col("prefixed").alias("old")).agg(F.min("plain").alias("new"))
+    return nodes.join(aliases.select(F.col("old").alias(key)), key, "left_anti"), remap_edges(edges, follow(aliases))
+
+
+def guarded(names: DataFrame, key: str, name: str):
+    """For ``similar_components``: takes pairs of antonyms out."""
+
+    def allowed(pairs: DataFrame) -> DataFrame:
+        a, b = (names.select(F.col(key).alias(c), F.col(name).alias(f"__wl_{c}")) for c in ("a", "b"))
+        return pairs.join(a, "a").join(b, "b").filter(~F.coalesce(are_antonyms(F.col("__wl_a"), F.col("__wl_b")), F.lit(False))).select(*pairs.columns)
+
+    return allowed

@@ -115,11 +115,16 @@ def _in_blocks(rows: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         some = held.setdefault(len(row["v"]), [])
         some.append((row["key"], row["v"]))
         if len(some) >= _QUERIES:
-            yield np.array([a for a, _ in some]), _unit(pd.Series([b for _, b in some]))
+            yield _keys(some), _unit(pd.Series([b for _, b in some]))
             some.clear()
     for some in held.values():
         if some:
-            yield np.array([a for a, _ in some]), _unit(pd.Series([b for _, b in some]))
+            yield _keys(some), _unit(pd.Series([b for _, b in some]))
+
+
+def _keys(some: list) -> np.ndarray:
+    """Keys of pairs; strings stay objects, as arrays of strings are as wide as their longest."""
+    return np.array([a for a, _ in some], object if isinstance(some[0][0], str) else None)
 
 
 def nearest(vectors: DataFrame, key: str, vector: str, k: int = 10, least: float = -1.0, queries: DataFrame | None = None) -> DataFrame:

@@ -31,7 +31,14 @@ def harvest_ids(t):
 
 @query(f"WITH {INVENTORY} SELECT * FROM inv")
 def id_inventory(t):
-    return _inventory(t)
+    return _inventory(t).drop("places")
+
+
+@query(f"WITH {INVENTORY} SELECT id, count(*) AS places, md5(string_agg(host || page_id, ' ' ORDER BY host, page_id)) AS digest FROM (SELECT DISTINCT id, host, page_id FROM found) GROUP BY id")
+def id_places(t):
+    """Each id's distinct places, in order."""
+    listed = F.array_join(F.transform("places", lambda x: F.concat(x["file"], x["page"].cast("string"))), " ")
+    return _inventory(t).select("id", F.size("places").cast("long").alias("places"), F.md5(listed).alias("digest"))
 
 
 @query(f"WITH {INVENTORY} SELECT id_type, count(*) AS ids FROM inv GROUP BY id_type")

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ids as idf
 from ..functions import text as tx
-from ..operators import chunks, graph, harvest, pages, resolve
+from ..operators import chunks, extract, graph, harvest, pages, resolve, vectors
+from ..session import written
 from ..sources.tables import Stages, write_graph
 
 VERSION = "1"
-# Node and relationship types of the graph; a corpus may add its own.
+#: Neighbours of a chunk, their least index score, and the cosine from which entities of a label are one.
+NEIGHBOURS, LEAST_SCORE, SAME = 10, 0.80, 0.92
+# Node types of the graph; a corpus may add its own.
 NODE_TYPES = ["Requirement", "Document", "ConfigParameter", "Module", "Concept", "StandardRef", "DocumentRef", "Function", "System", "Organization", "FunctionalCluster", "DataType", "Class", "Category", "SpecificationItem", "ChangeRecord", "Constraint", "TestSpecification", "TestCase"]
-EDGE_TYPES = ["REFERENCES", "IMPLEMENTS", "DEFINED_BY", "DEPENDS_ON", "ALLOCATED_TO", "CONFIGURES", "SPECIALIZES", "DERIVED_FROM", "CONTRADICTS", "TRACES_TO", "HAS_PARAMETER", "TESTED_BY", "REFINES", "CALLS", "OWNED_BY", "PART_OF", "CONTAINS", "HAS_CONFIG", "INSTANCE_OF", "HAS_CATEGORY", "CHANGED_IN", "DEFINED_IN"]
 
 
 def extended(types: list[str], more: list[str]) -> list[str]:
@@ -29,10 +33,12 @@ def stamp(nodes: DataFrame, as_of: str, confidence: float, method: str = "rule_b
     })
 
 
-def clean(raw: DataFrame, share: float = 0.40) -> DataFrame:
-    """Pages ``(filename, page_1idx, markdown, ...)`` cleaned and classed; blank, legal, contents and revision pages go."""
+def clean(raw: DataFrame, share: float = 0.40, embed: Callable[[Column], Column] = tx.embedding) -> DataFrame:
+    """Pages ``(filename, page_1idx, markdown, ...)`` cleaned and classed; blank, legal, contents and revision pages go, and edge pages that repeat an earlier file's."""
     kept = pages.strip_repeated_lines(raw.withColumn("markdown", tx.strip_inline_noise(F.col("markdown"))), "filename", "markdown", share)
     classed = kept.withColumn("content_type", tx.page_class(F.col("markdown"))).filter(~F.col("content_type").isin("near_blank", "legal_boilerplate", "toc_heading", "toc_content", "revision_history"))
+    classed = written(classed, "classed")
+    classed = classed.join(pages.boilerplate(classed.filter("content_type = 'content'"), "filename", "page_1idx", "markdown", embed), ["filename", "page_1idx"], "left_anti")
     body = F.when(F.col("content_type") == "content", tx.drop_orphan_captions(F.col("markdown"))).otherwise(F.col("markdown"))
     return classed.withColumn("markdown", tx.normalize_whitespace(tx.inline_clean(body)))
 
@@ -51,7 +57,8 @@ def chunk(cleaned: DataFrame) -> tuple[DataFrame, DataFrame]:
     index = F.col("section") * 1000 + F.col("chunk_index")
     stem = F.regexp_replace("filename", r"\.[^.]*$", "")
     named = found.withColumn("chunk_id", tx.chunk_id(stem, F.col("page_1idx"), index, F.col("filename"))).withColumn("token_count", tx.token_estimate(F.col("chunk")))
-    named = named.withColumn("chunk_type", tx.chunk_class(F.col("chunk"), F.col("req_ids"), F.col("content_type"))).withColumn("normative", F.lower("chunk").rlike(r"\b(shall|must)\b"))
+    named = named.withColumn("chunk_type", tx.chunk_class(F.col("chunk"), F.col("req_ids"), F.col("content_type")))
+    named = extract.enrich(named, "chunk", "chunk_type").withColumn("chunk_type", F.col("enriched_type")).drop("enriched_type")
     return chunks.chunk_links(named, "filename", ["page_1idx", "section", "chunk_index"], "chunk_id"), parameters
 
 
@@ -60,8 +67,9 @@ def build(cleaned: DataFrame, cut: DataFrame, parameters: DataFrame, as_of: str)
     modules = cleaned.select("filename").distinct().withColumn("module", idf.file_module(F.col("filename")))
     found = harvest.mentions(cleaned.filter("content_type <> 'diagram'"), "filename", "page_1idx", "markdown")
     known = harvest.inventory(found, modules, "filename", "page_1idx")
-    pairs = harvest.resolve_references(harvest.cooccurring(found, "filename", "page_1idx"), known)
-    bodies = cleaned.select("filename", "page_1idx", F.explode(idf.bodies(F.col("markdown"))).alias("b")).groupBy(F.col("b.id").alias("id")).agg(F.min_by("b.body", F.struct("filename", "page_1idx")).alias("text"))
+    near = extract.validate_references(harvest.cooccurring(found, "filename", "page_1idx"), cleaned, "filename", "page_1idx", "markdown")
+    pairs = harvest.resolve_references(near, known)
+    bodies = cleaned.select("filename", "page_1idx", F.explode(idf.bodies(F.col("markdown"))).alias("b")).groupBy(F.col("b.id").alias("id")).agg(F.min_by(tx.clean_body(F.col("b.body")), F.struct("filename", "page_1idx")).alias("text"))
     columns = ["id", "label", "name", "text", "module"]
     none = F.lit(None).cast("string")
     requirement = lambda c: F.concat(F.lit("req_"), c)
@@ -98,6 +106,45 @@ def build(cleaned: DataFrame, cut: DataFrame, parameters: DataFrame, as_of: str)
     return nodes, whole.join(nodes.select(F.col("id").alias("src")), "src", "left_semi").join(nodes.select(F.col("id").alias("dst")), "dst", "left_semi").select("src", "dst", "type")
 
 
+def _entities(cleaned: DataFrame, cut: DataFrame, parameters: DataFrame, names: DataFrame | None, as_of: str, types: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Concepts of glossaries, and entities of a list ``names (name, label)``, with the chunks that mention them and the pairs that one chunk mentions."""
+    terms = extract.glossary_terms(cleaned.filter("content_type = 'glossary'"), ["filename", "page_1idx"], "markdown")
+    concepts = terms.groupBy("term").agg(F.min_by("definition", F.struct("filename", "page_1idx")).alias("text")).select("term", "text", F.lit("Concept").alias("label"))
+    listed = concepts.select(F.col("term").alias("name"), "label")
+    if names is not None:
+        typed = F.when(resolve.normal_label(F.col("label")).isin(*types), resolve.normal_label(F.col("label"))).otherwise("Concept")
+        listed = listed.unionByName(names.select("name", typed.alias("label")))
+    listed = written(listed.groupBy("name").agg(F.min("label").alias("label")), "names")
+    found = written(extract.gazetteer(cut, "chunk_id", "chunk", listed), "entities")
+    met, _ = extract.validate_relations(extract.cooccurring_names(found, "chunk_id"), cut, "chunk_id", "chunk")
+    ident = lambda c: tx.safe_node_id(F.lit("entity"), F.col(c))
+    used = listed.join(found.select("name").distinct(), "name", "left_semi").join(concepts.select(F.col("term").alias("name"), "text"), "name", "left")
+    used = used.unionByName(concepts.select(F.col("term").alias("name"), "label", "text")).distinct()
+    nodes = used.select(ident("name").alias("id"), "label", "name", "text", F.lit(None).cast("string").alias("module"))
+    nodes = stamp(graph.keep_first(nodes, ["id"], ["label", F.col("text").isNull(), "name"]), as_of, 0.90, "glossary")
+    mentions = found.select(F.col("chunk_id").alias("src"), ident("name").alias("dst"), F.lit("MENTIONS").alias("type"))
+    related = met.select(ident("src_name").alias("src"), ident("dst_name").alias("dst"), F.lit("REFERENCES").alias("type")).filter("src <> dst")
+    return nodes, mentions.unionByName(related).distinct()
+
+
+def embedded(nodes: DataFrame, edges: DataFrame, embed: Callable[[Column], Column], k: int = NEIGHBOURS, least: float = LEAST_SCORE) -> tuple[DataFrame, DataFrame]:
+    """Nodes with ``embedding``, of a chunk's text, or of a summary or the first 100 characters of what else has one; and SIMILAR_TO edges between near chunks."""
+    summary = F.coalesce(F.col("summary"), F.substring("text", 1, 100)) if "summary" in nodes.columns else F.substring("text", 1, 100)
+    text = F.when(F.col("label") == "Chunk", F.col("text")).otherwise(F.coalesce(summary, F.col("name")))
+    made = written(nodes.drop("embedding").withColumn("embedding", embed(text)), "embedded")
+    near = vectors.nearest(made.filter("label = 'Chunk' AND embedding IS NOT NULL"), "id", "embedding", k, 2 * least - 1)
+    return made, edges.unionByName(near.select(F.col("a").alias("src"), F.col("b").alias("dst"), F.lit("SIMILAR_TO").alias("type")))
+
+
+def same_entities(nodes: DataFrame, edges: DataFrame, least: float = SAME, labels: tuple[str, ...] = ("Concept", "Function", "System", "Organization")) -> tuple[DataFrame, DataFrame]:
+    """Entities of one label whose vectors are as near as ``least`` become the first of them, antonyms apart; then those named ``Concept_X`` become ``X``."""
+    some = nodes.filter(F.col("label").isin(*labels) & F.col("embedding").isNotNull())
+    found = vectors.similar_components(some.select("id", "embedding", "label"), "id", "embedding", least, ["label"], resolve.guarded(some, "id", "name"))
+    aliases = written(found.filter("id <> cluster").select(F.col("id").alias("old"), F.col("cluster").alias("new")), "merged")
+    kept = nodes.join(aliases.select(F.col("old").alias("id")), "id", "left_anti")
+    return resolve.merge_prefixed(kept, resolve.remap_edges(edges, aliases))
+
+
 def resolve_names(nodes: DataFrame, edges: DataFrame, names: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nodes of the same label and canonical name become the first of them; chains of renames are followed, edges moved."""
     keyed = resolve.canonical(nodes.withColumn("label", resolve.normal_label(F.col("label"))), names, "id", "name")
@@ -107,17 +154,31 @@ def resolve_names(nodes: DataFrame, edges: DataFrame, names: DataFrame) -> tuple
     return kept, resolve.remap_edges(edges, resolve.follow(aliases))
 
 
-def run(raw: DataFrame, folder: str, as_of: str, names: DataFrame | None = None, from_stage: int = 0) -> tuple[DataFrame, DataFrame]:
-    """All stages over ``raw`` pages, each read again where its table is complete; stages from ``from_stage`` on are made anew."""
+def run(raw: DataFrame, folder: str, as_of: str, names: DataFrame | None = None, from_stage: int = 0, entities: DataFrame | None = None, embed: Callable[[Column], Column] = tx.embedding, types: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """All stages over ``raw`` pages, each read again where its table is complete; stages from ``from_stage`` on are made anew.
+
+    ``names (alias, canonical)`` gives canonical names; without it spellings of
+    one name become the most frequent one. ``entities (name, label)`` are looked
+    for in chunks; labels beyond ``NODE_TYPES`` and ``types`` become Concept. ``embed`` is a model's vectors, or what stands for them.
+    """
     stages = Stages(raw.sparkSession, folder)
     if from_stage:
         stages.invalidate(from_stage)
-    cleaned = stages.run(2, "clean", lambda: clean(raw))
+    cleaned = stages.run(2, "clean", lambda: clean(raw, embed=embed).orderBy("filename", "page_1idx"))
     cut = stages.run(4, "chunks", lambda: chunk(cleaned)[0])
     parameters = stages.run(5, "parameters", lambda: chunk(cleaned)[1])
-    nodes = stages.run(6, "nodes", lambda: build(cleaned, cut, parameters, as_of)[0])
-    edges = stages.run(7, "edges", lambda: build(cleaned, cut, parameters, as_of)[1])
-    if names is not None:
-        nodes, edges = resolve_names(nodes, edges, names)
+
+    def built():
+        nodes, edges = build(cleaned, cut, parameters, as_of)
+        more, between = _entities(cleaned, cut, parameters, entities, as_of, extended(NODE_TYPES, types or []))
+        nodes = nodes.unionByName(more.join(nodes.select("id"), "id", "left_anti"))
+        summaries = cut.select(F.col("chunk_id").alias("id"), "summary")
+        return nodes.join(summaries, "id", "left"), edges.unionByName(between).distinct()
+
+    nodes = stages.run(6, "nodes", lambda: built()[0])
+    edges = stages.run(6, "edges", lambda: built()[1])
+    nodes, edges = resolve_names(nodes, edges, resolve.spelling_names(nodes.filter("label <> 'Chunk'"), "name") if names is None else names)
+    with_vectors = embedded(nodes, edges, embed)
+    nodes, edges = same_entities(stages.run(7, "embedded", lambda: with_vectors[0]), stages.run(7, "similar", lambda: with_vectors[1]))
     write_graph(nodes, edges, f"{folder}/graph")
     return nodes, edges

@@ -22,11 +22,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def query(spark: SparkSession, sql: str, tables: dict[str, DataFrame], **params) -> DataFrame:
-    """Parameterised SQL over named tables."""
-    return spark.sql(sql, args=params or None, **tables)
-
-
 def documents_as_pages(files: DataFrame, parse: Callable[[bytes], list[str]]) -> DataFrame:
     """Pages of binary files ``(path, content)`` by a parser that gives a text for each page; a file that it fails on is left out."""
 
@@ -48,9 +43,16 @@ def binary_files(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> Da
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder)
 
 
+def text_pages(content: bytes) -> list[str]:
+    """The pages of a text file, with form feeds between them."""
+    return content.decode("utf-8").split("\f")
+
+
 def json_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Records of a JSON array or of JSON lines that span lines, with an explicit schema."""
-    return spark.read.schema(schema).option("multiLine", "true").json(path)
+    """Records of a JSON array, or of JSON lines, with an explicit schema."""
+    first = spark.read.text(path).filter(F.trim("value") != "").first()
+    lines = first is not None and first[0].strip().startswith("{") and first[0].strip().endswith("}")
+    return spark.read.schema(schema).option("multiLine", str(not lines).lower()).json(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -93,6 +95,36 @@ class Stages:
         return self.load(number, name) if self.done(number, name) else self.save(number, name, make())
 
 
+class Versions:
+    """A table, or a folder of tables, kept as numbered versions: a new one is written beside those that are read."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def all(self) -> list[str]:
+        if not self._fs.exists(self._path(self.folder)):
+            return []
+        names = sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(self.folder)))
+        return [f"{self.folder}/{n}" for n in names if n.startswith("v")]
+
+    def latest(self) -> str | None:
+        return (self.all() or [None])[-1]
+
+    def next(self) -> str:
+        return f"{self.folder}/v{len(self.all()):08d}"
+
+    def read(self, schema: str) -> DataFrame:
+        """The latest version, or an empty table."""
+        return self.spark.read.schema(schema).parquet(self.latest()) if self.latest() else self.spark.createDataFrame([], schema)
+
+    def write(self, df: DataFrame) -> DataFrame:
+        path = self.next()
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
 def write_graph(nodes: DataFrame, edges: DataFrame, folder: str) -> None:
     """Nodes by label and edges by type, so reads of one label or type touch its files alone."""
     nodes.write.mode("overwrite").partitionBy("label").parquet(f"{folder}/nodes")
