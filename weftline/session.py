@@ -28,13 +28,15 @@ def local_session(cores: int = 8, partitions: int = 8, memory: str = "8g") -> Sp
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; only where none is set, as in tests, one of our own."""
+    """The folder in ``spark.checkpoint.dir``; only where none is set and all runs on this machine, as in tests, one of our own."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         found = sc._jsc.sc().getCheckpointDir()
         found = found.get() if found.isDefined() else None
     if not found:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="weftline-"))
         found = sc._jsc.sc().getCheckpointDir().get()
     return found.rstrip("/")
