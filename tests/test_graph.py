@@ -126,3 +126,11 @@ def test_lcs_against_table():
             for j, y in enumerate(b):
                 t[i + 1][j + 1] = t[i][j] + 1 if x == y else max(t[i][j + 1], t[i + 1][j])
         assert evaluate.lcs(a, b) == t[-1][-1]
+
+
+def test_pairs_at_hubs_are_dealt_in_blocks(spark):
+    """Each pair of a hub's ends once, however small the blocks."""
+    links = spark.createDataFrame([("hub", i) for i in range(30)] + [("one", 1), ("two", 1), ("two", 5)], "m string, a long")
+    want = sorted([("hub", i, j) for i in range(30) for j in range(i + 1, 30)] + [("two", 1, 5)])
+    for block in (3, 7, 1000):
+        assert sorted(tuple(r) for r in graph.pairs_at(links, block).collect()) == want

@@ -112,3 +112,43 @@ def test_command_line(command, capsys):
     from weftline.__main__ import main
 
     assert main(command) == 0 and "heavy_reasoning" in capsys.readouterr().out
+
+
+def test_a_host_rests_after_a_failure():
+    now = [100.0]
+    asked = []
+
+    def say(name, fails=False):
+        def call(system, user):
+            asked.append(name)
+            if fails:
+                raise OSError
+            return name
+
+        return call
+
+    chain = models.Chain([models.Provider("a", say("a", True), 99, host="h"), models.Provider("b", say("b"), 99, host="h"), models.Provider("c", say("c"), 99, host="i")], lambda: now[0])
+    assert chain("s", "u") == "c" and asked == ["a", "c"]
+    now[0] += 6
+    assert chain("s", "u") == "b" and asked == ["a", "c", "b"]
+
+
+def test_streamed_memory_and_merges(spark, tmp_path):
+    from weftline.sources.tables import Versions
+
+    rows = [("a", "2024-01-01", 0.5), ("b", "2024-01-02", 0.7), ("a", "2024-01-03", 0.9)]
+    log = spark.createDataFrame(rows, "question string, ts string, confidence double").withColumn("ts", F.col("ts").cast("timestamp"))
+    log.repartition(3).write.parquet(str(tmp_path / "log"))
+    live = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "log"))
+    stream.memory(live).writeStream.outputMode("complete").format("memory").queryName("asked").trigger(availableNow=True).start().awaitTermination()
+    got, want = spark.table("asked"), stream.memory(log)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and got.filter("question = 'a' AND asks = 2 AND last_confidence = 0.9").count() == 1
+    kept = Versions(spark, str(tmp_path / "kept"))
+    changes = live.groupBy("question").agg(F.max("confidence").alias("confidence")).select("question", "confidence")
+    query = lambda df, n: kept.write(df)
+    running = changes.writeStream.outputMode("update").foreachBatch(lambda batch, n: query(stream.upsert(kept.read("question string, confidence double"), batch, ["question"]), n)).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    running.awaitTermination()
+    assert {tuple(r) for r in kept.read("question string, confidence double").collect()} == {("a", 0.9), ("b", 0.7)}
+    again = Versions(spark, str(tmp_path / "again"))
+    stream.upserting(live.select("question", "confidence").filter("question = 'b'"), ["question"], lambda: again.read("question string, confidence double"), lambda df, n: again.write(df), str(tmp_path / "cp2"))
+    assert [tuple(r) for r in again.read("question string, confidence double").collect()] == [("b", 0.7)]

@@ -10,6 +10,8 @@ from ..session import written
 # What an edge type weighs in an impact, and the weight of others.
 EDGE_WEIGHTS = {"MENTIONS": 0.2, "SIMILAR_TO": 0.3, "SOURCED_FROM": 0.4, "HYPOTHESIZES": 0.4, "REFERENCES": 0.6, "HAS_PARAMETER": 0.6, "HAS_REQUIREMENT": 0.8, "DEPENDS_ON": 0.9, "CONTRADICTS": 1.0}
 OTHER_WEIGHT = 0.3
+#: Ends of a node that one task pairs.
+_BLOCK = 1024
 
 
 def keep_first(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
@@ -51,21 +53,39 @@ def two_way(edges: DataFrame) -> DataFrame:
     return there.join(edges.filter("src > dst").select(F.col("dst").alias("a"), F.col("src").alias("b")), ["a", "b"], "left_semi").distinct()
 
 
+def pairs_at(links: DataFrame, block: int = _BLOCK) -> DataFrame:
+    """``(m, a, b)`` with ``a < b``: pairs of the ends ``a`` that ``links (m, a)``, distinct rows, has at the same ``m``.
+
+    The ends of a node with more than ``block`` are dealt out as pairs of blocks,
+    so a hub is the work of many tasks; nodes with one end are left out.
+    """
+    size = written(links.groupBy("m").agg(F.count("*").alias("n")).filter("n > 1").select("m", F.ceil(F.col("n") / block).cast("int").alias("k")), "degrees")
+    own = F.pmod(F.xxhash64("a"), F.col("k")).cast("int")
+    dealt = links.join(size, "m").withColumn("own", own).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    dealt = dealt.select("m", "a", "own", F.least("own", "o").alias("x"), F.greatest("own", "o").alias("y"))
+    other = dealt.select("m", "x", "y", F.col("a").alias("b"), F.col("own").alias("own_b"))
+    return dealt.join(other, ["m", "x", "y"]).filter((F.col("a") < F.col("b")) & ((F.col("x") == F.col("y")) | (F.col("own") != F.col("own_b")))).select("m", "a", "b")
+
+
 def shared_targets(edges: DataFrame) -> DataFrame:
-    """``(dst, a, b)``: pairs of sources of the same target; a target's sources are few by the meaning of allocation."""
-    pairs = edges.select("src", "dst").distinct()
-    return pairs.select("dst", F.col("src").alias("a")).join(pairs.select("dst", F.col("src").alias("b")), "dst").filter("a < b")
+    """``(dst, a, b)``: pairs of sources of the same target."""
+    return pairs_at(edges.select(F.col("dst").alias("m"), F.col("src").alias("a")).distinct()).withColumnRenamed("m", "dst")
 
 
 def bridges(edges: DataFrame, least: int = 2, rejected: DataFrame | None = None) -> DataFrame:
-    """``(a, b, shared)``: pairs without an edge that share at least ``least`` neighbours; rejected edges ``(src, dst)`` do not count as edges."""
+    """``(a, b, shared)``: pairs without an edge that share at least ``least`` neighbours; rejected edges ``(src, dst)`` do not count as edges.
+
+    Nodes with fewer than ``least`` neighbours are no ends of such a pair and are left out first.
+    """
     both = edges.select("src", "dst").union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).filter("src <> dst").distinct()
     direct = both
     if rejected is not None:
         gone = rejected.select("src", "dst").union(rejected.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
         direct = both.join(gone, ["src", "dst"], "left_anti")
-    mid = direct.select(F.col("src").alias("m"), F.col("dst").alias("a")).join(direct.select(F.col("src").alias("m"), F.col("dst").alias("b")), "m").filter("a < b")
-    counts = mid.groupBy("a", "b").agg(F.count("*").alias("shared")).filter(F.col("shared") >= least)
+    direct = written(direct, "neighbours")
+    wide = direct.groupBy("src").agg(F.count("*").alias("n")).filter(F.col("n") >= least).select(F.col("src").alias("a"))
+    links = direct.select(F.col("src").alias("m"), F.col("dst").alias("a")).join(wide, "a", "left_semi").select("m", "a")
+    counts = pairs_at(links).groupBy("a", "b").agg(F.count("*").alias("shared")).filter(F.col("shared") >= least)
     return counts.join(direct.select(F.col("src").alias("a"), F.col("dst").alias("b")), ["a", "b"], "left_anti")
 
 

@@ -210,11 +210,11 @@ def dedup_edges(t):
     return t.lineitem.groupBy(F.col("l_suppkey").alias("src"), F.col("l_partkey").alias("dst")).agg(F.count_distinct("l_orderkey").alias("n")).withColumn("type", F.lit("HAS"))
 
 
-@query("""WITH direct AS (SELECT o.o_orderkey AS chunk, s.s_nationkey AS module FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey AND l.l_linenumber = 1 JOIN supplier s ON l.l_suppkey = s.s_suppkey),
+@query("""WITH direct AS (SELECT DISTINCT o.o_orderkey AS chunk, s.s_nationkey AS module FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey JOIN supplier s ON l.l_suppkey = s.s_suppkey),
     rest AS (SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey NOT IN (SELECT chunk FROM direct)) SELECT chunk, CAST(module AS BIGINT) AS module, 'direct' AS method FROM direct UNION ALL SELECT o_orderkey, CAST(c_nationkey AS BIGINT), 'fallback' FROM rest JOIN customer ON o_custkey = c_custkey""")
 def sourced_from(t):
-    line = t.lineitem.filter("l_linenumber = 1").select(F.col("l_orderkey").alias("chunk"), "l_suppkey")
-    direct = line.join(t.orders.select(F.col("o_orderkey").alias("chunk")), "chunk", "left_semi").join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select("chunk", F.col("s_nationkey").cast("long").alias("module"))
+    line = t.lineitem.select(F.col("l_orderkey").alias("chunk"), "l_suppkey")
+    direct = line.join(t.orders.select(F.col("o_orderkey").alias("chunk")), "chunk", "left_semi").join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select("chunk", F.col("s_nationkey").cast("long").alias("module")).distinct()
     rest = t.orders.select(F.col("o_orderkey").alias("chunk"), "o_custkey").join(direct, "chunk", "left_anti")
     fallback = rest.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("chunk", F.col("c_nationkey").cast("long").alias("module"))
     return direct.withColumn("method", F.lit("direct")).unionByName(fallback.withColumn("method", F.lit("fallback")))
