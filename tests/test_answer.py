@@ -147,6 +147,16 @@ def test_judges_and_token_scores(spark):
     assert near == same == 1.0 and far < 0.5
 
 
+def test_stems(spark):
+    from weftline.functions.stem import stem
+
+    said = "caresses caress ponies poni cats cat feed feed agreed agre plastered plaster motoring motor sing sing conflated conflat sized size hopping hop falling fall hissing hiss failing fail filing file happy happi sky sky relational relat conditional condit rational ration digitizer digit operator oper feudalism feudal decisiveness decis hopefulness hope triplicate triplic formative form formalize formal electrical electr hopeful hope goodness good revival reviv allowance allow inference infer airliner airlin adjustable adjust irritant irrit replacement replac adoption adopt effective effect probate probat rate rate cease ceas controlling control roll roll".split(" ")
+    assert {w: stem(w) for w in said[::2]} == dict(zip(said[::2], said[1::2], strict=True))
+    df = spark.createDataFrame([(1, "the drivers were sending frames", "a driver sends frame")], "k long, p string, r string")
+    assert evaluate.rouge_n(df, "k", "p", "r", 1).first()["rouge"] == 0.0 and evaluate.rouge_n(df, "k", "p", "r", 1, True).first()["rouge"] == round(6 / 9, 4)
+    assert df.select(evaluate.rouge_l_stems("p", "r").alias("x")).first()["x"] == round(6 / 9, 4)
+
+
 def test_cycle_state_is_kept_and_errors_are_captured(spark, stored, tmp_path, monkeypatch):
     folder, *_ = stored
     g = cycle.prepared(*tables.read_graph(spark, f"{folder}/graph"))

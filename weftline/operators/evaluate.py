@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from ..functions.stem import stem, stemmed
 from ..functions.text import parse_noisy_json, strip
 from ..session import written
 
@@ -22,17 +23,18 @@ def match(predictions: DataFrame, gold: DataFrame, question: str, gold_question:
     return asked.join(last, "__wl_q").drop("__wl_q"), asked.join(last.select("__wl_q"), "__wl_q", "left_anti").drop("__wl_q")
 
 
-def ngrams(text: Column, n: int) -> Column:
+def ngrams(text: Column, n: int, stems: bool = False) -> Column:
     words = F.regexp_extract_all(F.lower(text), F.lit(r"[a-z0-9]+"), F.lit(0))
+    words = stemmed(words) if stems else words
     if n == 1:
         return words
     size = F.size(words) - (n - 1)
     return F.when(size > 0, F.transform(F.sequence(F.lit(1), size), lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array().cast("array<string>"))
 
 
-def rouge_n(pairs: DataFrame, key: str, prediction: str, reference: str, n: int) -> DataFrame:
-    """``(key, rouge)``: F1 of the multisets of word n-grams, without stemming, to four places; 0 if either has none."""
-    grams = lambda c: pairs.select(key, F.explode(ngrams(F.col(c), n)).alias("g")).groupBy(key, "g").agg(F.count("*").alias("n"))
+def rouge_n(pairs: DataFrame, key: str, prediction: str, reference: str, n: int, stems: bool = False) -> DataFrame:
+    """``(key, rouge)``: F1 of the multisets of n-grams of words, or of their ``stems``, to four places; 0 if either has none."""
+    grams = lambda c: pairs.select(key, F.explode(ngrams(F.col(c), n, stems)).alias("g")).groupBy(key, "g").agg(F.count("*").alias("n"))
     a, b = grams(prediction).withColumnRenamed("n", "na"), grams(reference).withColumnRenamed("n", "nb")
     sums = a.join(b, [key, "g"], "full_outer").groupBy(key).agg(F.sum(F.least(F.coalesce("na", F.lit(0)), F.coalesce("nb", F.lit(0)))).alias("both"), F.sum("na").alias("a"), F.sum("nb").alias("b"))
     f1 = F.when(F.col("both") > 0, F.round(2.0 * F.col("both") / (F.col("a") + F.col("b")), 4)).otherwise(0.0)
@@ -52,14 +54,28 @@ def lcs(a: list[str], b: list[str]) -> int:
     return len(a) - row.bit_count()
 
 
+def _words(text: str, stems: bool) -> list[str]:
+    import re
+
+    return [stem(w) if stems and len(w) > 3 else w for w in re.findall(r"[a-z0-9]+", text.lower())]
+
+
 @F.pandas_udf(DoubleType())
 def rouge_l(prediction: pd.Series, reference: pd.Series) -> pd.Series:
     """F1 of the longest common subsequence of words, to four places."""
-    import re
+    return _longest(prediction, reference, False)
+
+
+@F.pandas_udf(DoubleType())
+def rouge_l_stems(prediction: pd.Series, reference: pd.Series) -> pd.Series:
+    """F1 of the longest common subsequence of stems, to four places."""
+    return _longest(prediction, reference, True)
+
 
+def _longest(prediction: pd.Series, reference: pd.Series, stems: bool) -> pd.Series:
     out = []
     for p, r in zip(prediction.fillna(""), reference.fillna(""), strict=True):
-        x, y = re.findall(r"[a-z0-9]+", p.lower()), re.findall(r"[a-z0-9]+", r.lower())
+        x, y = _words(p, stems), _words(r, stems)
         out.append(round(2 * lcs(x, y) / (len(x) + len(y)), 4) if x and y else 0.0)
     return pd.Series(out, dtype="float64")
 
@@ -126,10 +142,10 @@ def assembled(predictions: DataFrame, gold: DataFrame, ask: Callable[[str, Colum
     """All metrics of each prediction without errors, one row each however often a question is asked; and the predictions without a gold record."""
     said = written(predictions.filter(F.coalesce(F.size("errors"), F.lit(0)) <= 0).withColumn("key", F.monotonically_increasing_id()), "predictions")
     found, unmatched = match(said, gold, "question", "user_input", "position")
-    scored = found.withColumn("rougeL", rouge_l("answer", "reference")).withColumn("bert_score", token_score(embed)("answer", "reference"))
+    scored = found.withColumn("rougeL", rouge_l_stems("answer", "reference")).withColumn("bert_score", token_score(embed)("answer", "reference"))
     scored = judged(scored, ask) if ask else scored
     for n in (1, 2):
-        scored = scored.join(rouge_n(found, "key", "answer", "reference", n).withColumnRenamed("rouge", f"rouge{n}"), "key")
+        scored = scored.join(rouge_n(found, "key", "answer", "reference", n, True).withColumnRenamed("rouge", f"rouge{n}"), "key")
     return scored.drop("key"), unmatched.drop("key")
 
 
