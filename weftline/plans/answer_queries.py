@@ -46,15 +46,17 @@ def gazetteer_mentions(t):
     return extract.gazetteer(t.part, "p_partkey", "p_name", names).select("p_partkey", "name")
 
 
-GLOSS = f"""SELECT doc_id, unnest(regexp_extract_all(text, '{extract.TERM}', 1)) AS term, unnest(regexp_extract_all(text, '{extract.TERM}', 2)) AS definition FROM documents"""
+GLOSS = f"""SELECT doc_id, unnest(regexp_extract_all(text, '{extract.TERM}', 1)) AS term, unnest(regexp_extract_all(text, '{extract.TERM}', 2)) AS definition FROM (SELECT doc_id, 'Term ' || source || ': ' || text AS text FROM documents)"""
 
 
 @query(f"SELECT doc_id, trim(term) AS term, md5(trim(definition)) AS digest FROM ({GLOSS})")
 def glossary_terms(t):
-    return extract.glossary_terms(t.texts("doc_id", "text"), ["doc_id"], "text").select("doc_id", "term", F.md5("definition").alias("digest"))
+    headed = t.texts("doc_id", "source", "text").select("doc_id", F.concat(F.lit("Term "), "source", F.lit(": "), "text").alias("text"))
+    return extract.glossary_terms(headed, ["doc_id"], "text").select("doc_id", "term", F.md5("definition").alias("digest"))
 
 
-IDS = r"\d+@mail\d"
+#: Long words stand for identifiers.
+IDS = r"[a-z]{13,}"
 PAIRS = f"""h AS (SELECT doc_id, list_distinct(regexp_extract_all(text, '{IDS}')) AS h FROM documents), i AS (SELECT doc_id, unnest(h) AS x FROM h WHERE len(h) <= 15), p AS (SELECT a.doc_id, a.x AS a, b.x AS b FROM i a JOIN i b ON a.doc_id = b.doc_id AND a.x < b.x)"""
 
 
