@@ -19,15 +19,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from ..operators.components import connected_components
 from ..session import width, written
-from .text import blobs, whole_groups
+from .text import blobs, slices, whole_groups
 
 #: Edits within which two lines are one, and the characters that a line needs, spaces at its ends not counted, to take part.
 MAX_EDITS, MIN_CHARS = 2, 30
-_SEEN, _PAIRWISE, _BLOCK, _FILTER_BITS = 300_000, 24, 2048, 1 << 26
+_SEEN, _PAIRWISE, _BLOCK, _FILTER_BITS = 150_000, 24, 2048, 1 << 26
 
 
 def within(a: str, b: str, limit: int) -> bool:
@@ -124,7 +123,7 @@ def occurrences(docs: DataFrame, min_chars: int = MIN_CHARS, id_col: str = "doc_
     """``(id, tie, line, h, s)``: where each eligible line is, its hash, its sketch. Needs an integer id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text"):
             rows, lines, hs, ss = [], [], [], []
             for row, text in enumerate(blobs(batch.column("text"))):
                 for number, line in eligible(text, min_chars):
@@ -144,7 +143,7 @@ def _keys(docs: DataFrame, limit: int, min_chars: int, text_col: str) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plans: dict[int, list] = {}
         seen: set[int] = set()
-        for batch in batches:
+        for batch in slices(batches, "text"):
             keys, hs, ss = [], [], []
             for text in blobs(batch.column("text")):
                 for _, line in eligible(text, min_chars):
@@ -258,7 +257,7 @@ def _texts(docs: DataFrame, wanted: DataFrame, min_chars: int, text_col: str) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for batch in slices(batches, "text"):
             found = [(_name(line), line) for text in blobs(batch.column("text")) for _, line in eligible(text, min_chars)]
             hit = maybe(bits.value, np.array([h for h, _ in found], np.int64)) if found else []
             rows = {h: line for (h, line), x in zip(found, hit, strict=True) if x and h not in seen}
@@ -339,13 +338,16 @@ def removals(docs: DataFrame, limit: int = MAX_EDITS, min_chars: int = MIN_CHARS
     best = near.groupBy("component").agg(F.min("first").alias("first"))
     near = near.drop("first").join(best, "component").select("h", "s", "first", F.lit(True).alias("near"))
     keep = distinct.join(near.select("h", "s", F.col("first").alias("best"), "near"), ["h", "s"], "left").filter("n > 1 OR near").select("h", "s", F.coalesce("best", "first").alias("first"))
+    # Written, so that both sides of the next join are plain scans and Spark can split a line that has a large share of all places.
+    keep = written(keep, "lines-kept")
     gone = found.join(keep, ["h", "s"]).filter(~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("tie") == F.col("first.tie")) & (F.col("line") == F.col("first.line"))))
     return gone.groupBy("id", "tie").agg(F.collect_set("line").alias("lines"))
 
 
-@F.pandas_udf(StringType())
-def _without(text: pd.Series, lines: pd.Series) -> pd.Series:
-    return pd.Series(["\n".join(x for i, x in enumerate(t.split("\n")) if i not in drop) for t, drop in zip(text, map(set, lines), strict=True)], dtype="object")
+def _without(text: Column, lines: Column) -> Column:
+    """A text without the lines of these numbers."""
+    parts = F.get(F.transform(F.array(F.split(text, "\n")), lambda x: F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), lines), lambda i: F.get(x, i))), F.lit(0))
+    return F.array_join(parts, "\n")
 
 
 def dedup_lines(docs: DataFrame, limit: int = MAX_EDITS, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -368,7 +370,7 @@ def dedup_lines(docs: DataFrame, limit: int = MAX_EDITS, min_chars: int = MIN_CH
     tied = docs.withColumn("__wl_tie", F.xxhash64(text_col))
     maybe_losing = losing("__wl_tie")
     touched = tied.filter(maybe_losing).join(gone.select(F.col("id").alias("__wl_id"), F.col("tie").alias("__wl_t"), F.col("lines").alias("__wl_lines")), (F.col("__wl_tie") == F.col("__wl_t")) & F.col(id_col).cast("long").eqNullSafe(F.col("__wl_id")), "left")
-    touched = touched.withColumn(text_col, F.when(F.col("__wl_lines").isNotNull(), _without(F.coalesce(text_col, F.lit("")), F.coalesce("__wl_lines", F.array().cast("array<int>")))).otherwise(F.col(text_col)))
+    touched = touched.withColumn(text_col, F.when(F.col("__wl_lines").isNotNull(), _without(F.col(text_col), F.col("__wl_lines"))).otherwise(F.col(text_col)))
     touched = touched.select(*kept_columns, F.coalesce(F.size("__wl_lines"), F.lit(0)).alias("n_lines_removed"))
     return tied.filter(~maybe_losing).select(*kept_columns, F.lit(0).alias("n_lines_removed")).unionByName(touched)
 
