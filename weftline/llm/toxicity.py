@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
-from .text import blobs, words
+from .text import blobs, slices, words
 
 #: Documents that a model learns from at most, chosen by a hash of their id.
 SAMPLE = 16_000
@@ -85,8 +85,13 @@ def ftrl(rows: list[tuple[np.ndarray, int]], bits: int = 24, alpha: float = 1.0,
     for slots, _ in rows:
         seen[slots] += seen[slots] < 255
     live = np.flatnonzero(seen > l1 / epochs).astype(np.int32)
+    # Few large arrays, not one a row: those go back to the system when they are freed.
+    sizes = [int((seen[slots] > l1 / epochs).sum()) for slots, _ in rows]
+    packed, at = np.empty(sum(sizes), np.int32), 0
     for i, (slots, label) in enumerate(rows):
-        rows[i] = np.searchsorted(live, slots[seen[slots] > l1 / epochs]).astype(np.int32), label
+        packed[at : at + sizes[i]] = np.searchsorted(live, slots[seen[slots] > l1 / epochs])
+        rows[i] = packed[at : at + sizes[i]], label
+        at += sizes[i]
     del seen
     z, n = np.zeros(len(live), np.float32), np.zeros(len(live), np.float32)
     zb = nb = 0.0
@@ -133,9 +138,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = 24
     one = texts.join(F.broadcast(chosen), "_id").select("_h", "_id", "_y", "_t").repartition(1).sortWithinPartitions("_h", "_id", F.xxhash64("_t"))
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make, rows = Features(bits), []
-        for batch in batches:
-            rows += [(np.unique(make(t)).astype(np.int32), int(y)) for y, t in zip(batch.column("_y").to_pylist(), batch.column("_t").to_pylist(), strict=True)]
+        make, parts, sizes, labels = Features(bits), [np.empty(0, np.int32)], [], []
+        for batch in slices(batches, "_t"):
+            some = [np.unique(make(t)).astype(np.int32) for t in blobs(batch.column("_t"))]
+            parts.append(np.concatenate(some))
+            sizes += map(len, some)
+            labels += batch.column("_y").to_pylist()
+        flat = np.concatenate(parts)
+        del parts
+        ends = np.cumsum(sizes).tolist()
+        rows = [(flat[b - n : b], int(y)) for n, b, y in zip(sizes, ends, labels, strict=True)]
+        del flat
         model = ftrl(rows, bits)
         yield pa.RecordBatch.from_pydict({"slots": pa.array([model.slots.astype("<i8").tobytes()]), "weights": pa.array([model.weights.tobytes()]), "bias": [model.bias]})
 
