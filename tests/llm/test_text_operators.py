@@ -3,6 +3,7 @@
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -10,6 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from weftline.llm import decontaminate, linededup, neardup, simhash, toxicity
+from weftline.session import shared_dir
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 lower = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t)
@@ -190,6 +192,44 @@ def test_near_dedup_stage(spark, monkeypatch, pairwise, block):
     assert corpus_pipeline.without_near_duplicates(spark, df.filter("false"), "").count() == 0
 
 
+def test_near_dedup_disk(spark, monkeypatch):
+    """Texts are read again only where sketches leave sets together, and what the stage writes on its way does not outlast it."""
+    rng = random.Random(5)
+    word = lambda k: [f"w{rng.randrange(10**6)}" for _ in range(k)]
+    docs = []
+    for _ in range(60):
+        half = word(40)
+        docs += [half + word(40), half + word(40)]
+    docs += [docs[0][:-1], docs[2] + ["end"]]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")
+    rows, write = {}, neardup.written
+
+    def counted(table, label, **more):
+        out = write(table, label, **more)
+        rows[label] = out.count()
+        return out
+
+    monkeypatch.setattr(neardup, "written", counted)
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    kept = neardup.one_of_each(df)
+    left = [x.name for x in set(folder.iterdir()) - before]
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(120))
+    assert rows["near-texts"] == 4 and len(left) == 1 and left[0].startswith("weftline-near-shared")
+
+
+def test_sketches_never_part_near_sets():
+    """Sketches, folded to the smaller, differ in no more bits than their sets in elements."""
+    rng = np.random.default_rng(6)
+    for n in (1, 2, 8, 9, 60, 64, 65, 700):
+        base = rng.integers(0, 1 << 64, n, np.uint64)
+        for gone in {0, 1, n // 9, n // 2}:
+            other = np.unique(np.r_[base[gone:], rng.integers(0, 1 << 64, n // 3, np.uint64)])
+            a, b = neardup._sketch(np.unique(base)), neardup._sketch(other)
+            size = min(len(a), len(b))
+            assert np.bitwise_count(neardup._folded(a, size) ^ neardup._folded(b, size)).sum() <= len(np.setxor1d(base, other))
+
+
 # Line dedup
 
 

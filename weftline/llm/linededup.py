@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from ..session import width, written
+from ..session import scratch, width, written
 from .text import blobs, slices, whole_groups
 
 #: Edits within which two lines are one, and the characters that a line needs, spaces at its ends not counted, to take part.
@@ -359,7 +359,8 @@ def dedup_lines(docs: DataFrame, limit: int = MAX_EDITS, min_chars: int = MIN_CH
     texts are returned as they are. Rows with the same id and text are one
     document: each loses the same lines.
     """
-    gone = written(removals(docs, limit, min_chars, id_col, text_col), "lines-gone")
+    with scratch(docs.sparkSession):
+        gone = written(removals(docs, limit, min_chars, id_col, text_col), "lines-gone", keep=True)
     bits = docs.sparkSession.sparkContext.broadcast(bits_of(gone, "tie"))
 
     @F.pandas_udf("boolean")

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import itertools
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _counter = itertools.count()
+_open = threading.local()
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def local_session(cores: int = 8, partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -42,15 +47,39 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that are ``written`` inside go at the end, but for those to ``keep``, which the scratch around it takes over if there is one."""
+    outer = getattr(_open, "around", None), getattr(_open, "paths", None)
+    _open.around, _open.paths = outer[1], []
+    try:
+        yield
+    finally:
+        paths = _open.paths
+        _open.around, _open.paths = outer
+        for path in paths:
+            jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+            jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+def written(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """``df`` written as a Parquet table in the shared folder and read again.
 
     This cuts the lineage in a way that survives the loss of any executor. The
-    table goes when the driver's JVM ends.
+    table goes when the driver's JVM ends, or with the ``scratch`` it is written
+    in. The shuffle files of the write go with it: nothing reads them again.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/weftline-{label}-{next(_counter)}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    owner = getattr(_open, "around" if keep else "paths", None)
+    if owner is not None:
+        owner.append(path)
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
     return spark.read.schema(df.schema).parquet(path)
