@@ -206,7 +206,7 @@ def test_near_dedup_disk(spark, monkeypatch):
 
     def counted(table, label, **more):
         out = write(table, label, **more)
-        rows[label] = out.count()
+        rows[label] = rows.get(label, 0) + out.count()
         return out
 
     monkeypatch.setattr(neardup, "written", counted)
@@ -218,6 +218,29 @@ def test_near_dedup_disk(spark, monkeypatch):
     assert rows["near-texts"] == 4 and len(left) == 1 and left[0].startswith("weftline-near-shared")
 
 
+def test_near_dedup_by_fingerprints(spark, monkeypatch):
+    """Without prefixes the stage links what fingerprints of five-word shingles within three bits link and the exact check lets pass."""
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    docs = []
+    for i in range(60):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+        docs += [base, [*base[:150], *(f"x{rng.randrange(10**6)}" for _ in range(i % 4 + 1)), *base[150 + i % 4 + 1 :]]]
+    docs = [" ".join(w) for w in docs] + ["a b c d e f", "a b c d e f g"]
+    prints = [simhash.majority([neardup.shingles(t.encode())], len(neardup.shingles(t.encode()))) for t in docs]
+    near = [i for i in range(0, 120, 2) if (prints[i] ^ prints[i + 1]).bit_count() <= simhash.MAX_DISTANCE]
+    assert 10 < len(near) < 60
+    monkeypatch.setattr(neardup, "_gather", lambda least: lambda batches: iter(()))
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.length("text").cast("long")})
+    kept = {r["doc_id"] for r in corpus_pipeline.without_near_duplicates(spark, df, "").collect()}
+    assert set(range(122)) - kept == {i + 1 for i in near}
+    # Fingerprints alone do not link: where all of them do, the exact check decides.
+    monkeypatch.setattr(simhash, "links", lambda distinct: distinct.select(F.lit(7).cast("long").alias("u"), F.col("fp").alias("v")))
+    kept = {r["doc_id"] for r in corpus_pipeline.without_near_duplicates(spark, df, "").collect()}
+    assert kept == {*range(0, 120, 2), 120, 121}
+
+
 def test_sketches_never_part_near_sets():
     """Sketches, folded to the smaller, differ in no more bits than their sets in elements."""
     rng = np.random.default_rng(6)

@@ -11,7 +11,7 @@ then the whole distance are checked where the rows of a key meet.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +27,14 @@ BITS, SEGMENTS, MAX_DISTANCE = 64, 4, 3
 _PAIRWISE = 24
 
 
+def majority(parts: Iterable[np.ndarray], n: int) -> int:
+    """The bits that are set in more than half of ``n`` hashes, given in parts."""
+    counts = np.zeros(BITS, np.int64)
+    for hashes in parts:
+        counts += np.unpackbits(hashes.astype(">u8", copy=False).view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big")
+
+
 def fingerprint(text: bytes | None, size: int = 3) -> int:
     """The SimHash of a text's ``size``-word shingles, repeats included; 0 without words.
 
@@ -41,12 +49,9 @@ def fingerprint(text: bytes | None, size: int = 3) -> int:
     ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1)
     starts = [0, *ends[:-size].tolist()]
     one = xxhash.xxh64_intdigest
-    counts, n = np.zeros(BITS, np.int64), len(starts)
+    n = len(starts)
     ends = (ends[size - 1 :] - 1).tolist()
-    for at in range(0, n, 65536):
-        hashes = np.fromiter((one(line[a:b], 42) for a, b in zip(starts[at : at + 65536], ends[at : at + 65536], strict=True)), ">u8", min(65536, n - at))
-        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big")
+    return majority((np.fromiter((one(line[a:b], 42) for a, b in zip(starts[at : at + 65536], ends[at : at + 65536], strict=True)), ">u8", min(65536, n - at)) for at in range(0, n, 65536)), n)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
