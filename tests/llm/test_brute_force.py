@@ -237,3 +237,26 @@ def test_empty_pages_and_hot_rows(spark):
     hot = spark.createDataFrame([(i, "one very common line that all the documents of this source have") for i in range(500)], "doc_id long, text string")
     assert linededup.digest(hot).agg(F.sum("n_removed")).first()[0] == 499
     assert simhash.digest(hot).select("component_id").distinct().count() == 1 and neardup.one_of_each(hot).count() == 1
+
+
+def test_pipeline_sends_small_batches_to_python(spark):
+    """Rows reach Python in batches of about a megabyte, whatever their size, and a session's own bound stays."""
+    import corpus_pipeline as pipe
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    was = spark.conf.getAll.get(key)
+    docs = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("words "), 1000).alias("text"))
+
+    def largest(batches):
+        import pyarrow as pa
+
+        yield pa.RecordBatch.from_pydict({"n": pa.array([max(b.num_rows for b in batches)], pa.int64())})
+
+    try:
+        for own, most in ((None, 400), (str(1 << 30), 3000)):
+            spark.conf.unset(key) if own is None else spark.conf.set(key, own)
+            pipe.as_tokens(spark, docs, "")
+            assert docs.mapInArrow(largest, "n long").first()["n"] <= most
+            assert own is None or spark.conf.get(key).rstrip("b") == own
+    finally:
+        spark.conf.unset(key) if was is None else spark.conf.set(key, was)

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 _counter = itertools.count()
 _open = threading.local()
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: The bytes of rows that go to Python at once, and the rows that a scan holds as columns.
+_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(1 << 20), "spark.sql.parquet.columnarReaderBatchSize": "1024"}
 
 
 def local_session(cores: int = 8, partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -85,6 +87,19 @@ def written(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on batches of rows for Python hold about 1 MB, and batches of a scan 1024 rows, unless the session has bounds of its own.
+
+    Spark's hold 10,000 rows up to 64 MB, outside the heap and in buffers that
+    double as they grow, and 4096. The bounds stay, since frames are planned
+    when they are run; no result depends on them.
+    """
+    own = spark.conf.getAll
+    for key, value in _BATCHES.items():
+        if key not in own:
+            spark.conf.set(key, value)
+
+
 def table_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of the size of ``df``: an upper bound for plain scans."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
