@@ -340,3 +340,32 @@ def test_toxicity_without_labels(spark):
     d, y = spark.createDataFrame([(1, "x"), (2, None)], "doc_id long, text string"), spark.createDataFrame([], "doc_id long, toxic int")
     assert {r["score"] for r in toxicity.digest(d, y).collect()} == {0.5}
     assert toxicity.digest(d.filter("false"), y).count() == 0
+
+
+@pytest.mark.parametrize("long", [50, 1 << 16])
+def test_line_keys_are_made_in_arrays(monkeypatch, long):
+    """Keys agree where the stretches that a line indexes or probes do, whatever lines come with it, and only long lines are hashed stretch by stretch."""
+    rng, calls = random.Random(4), []
+    hashing = linededup.xxhash.xxh3_64_intdigest
+    monkeypatch.setattr(linededup, "_LONG", long)
+    monkeypatch.setattr(linededup, "xxhash", type("Counted", (), {"xxh3_64_intdigest": staticmethod(lambda *a: calls.append(1) or hashing(*a))}))
+    lines = []
+    for alphabet, n in [(a, n) for a in ("ab", "a\u00e9\u6f22", "b\U0001f600") for n in (30, 33, 49, 50, 51, 52, 53, 60, 300)]:
+        one = "".join(rng.choices(alphabet, k=n))
+        lines += [one, one[1:] + "a", one[:7] + "b" + one[7:], one[:-2]]
+    lines, found = [x.encode() for x in lines if len(x) >= 30], {}
+    keys = linededup._Keys(2)
+    for some, points, bounds in linededup._blocks(lines):
+        key, line, probing = keys(points, bounds)
+        for k, i, p in zip(key.tolist(), line.tolist(), probing.tolist(), strict=True):
+            found.setdefault(int(some[i]), []).append((k, p))
+        classes = np.stack([np.bincount([ord(c) & 7 for c in lines[i].decode()], minlength=8) for i in some.tolist()]) % 256
+        assert (linededup._sketches(points, bounds).view(np.uint8).reshape(-1, 8) == classes).all()
+    of, back = {}, {}
+    for i, line in enumerate(lines):
+        text = line.decode()
+        plan = linededup._plan(len(text), 2)
+        assert [bool(p) for _, p in found[i]] == [p for *_, p in plan]
+        for (other, segment, a, b, _), (k, _) in zip(plan, found[i], strict=True):
+            assert of.setdefault((other, segment, text[a:b]), k) == k and back.setdefault(k, (other, segment, text[a:b])) == (other, segment, text[a:b])
+    assert bool(calls) == (long == 50)

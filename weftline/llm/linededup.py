@@ -22,11 +22,15 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from ..session import scratch, width, written
-from .text import blobs, slices, whole_groups
+from .text import BASE, blobs, gathered, powers, scattered, slices, whole_groups
 
 #: Edits within which two lines are one, and the characters that a line needs, spaces at its ends not counted, to take part.
 MAX_EDITS, MIN_CHARS = 2, 30
 _SEEN, _PAIRWISE, _BLOCK, _FILTER_BITS = 150_000, 24, 2048, 1 << 26
+#: Bytes of lines that are worked on as one array, and above which a line is worked on alone and its segments are hashed one by one.
+_SLICE, _LONG = 1 << 18, 1 << 16
+#: Where in a sketch the count of each class is.
+_LANES = np.uint64(1) << (np.arange(8, dtype=np.uint64) * np.uint64(8))
 
 
 def within(a: str, b: str, limit: int) -> bool:
@@ -96,10 +100,85 @@ def _plan(n: int, limit: int) -> list[tuple[int, int, int, int, bool]]:
     return out
 
 
-def _sketch(line: bytes) -> int:
-    """Counts modulo 256 of the characters in eight classes, packed; an edit changes at most two of them, by one."""
-    chars = np.frombuffer(line, np.uint8) if line.isascii() else np.frombuffer(line.decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
-    return int.from_bytes((np.bincount(chars & 7, minlength=8) & 255).astype(np.uint8).tobytes(), "little", signed=True)
+def _blocks(lines: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Which lines, their characters one after the other, and the bounds of each: ASCII as bytes, others as code points; long lines alone."""
+
+    def block(some: list[int], plain: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if plain:
+            found = [lines[i] for i in some]
+            points = np.frombuffer(b"".join(found), np.uint8)
+        else:
+            found = [lines[i].decode("utf-8", "surrogatepass") for i in some]
+            points = np.frombuffer("".join(found).encode("utf-32-le", "surrogatepass"), "<u4")
+        return np.array(some), points, np.concatenate([[0], np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))])
+
+    for plain in (True, False):
+        some, size = [], 0
+        for i, line in enumerate(lines):
+            if line.isascii() is not plain:
+                continue
+            if len(line) > _LONG:
+                yield block([i], plain)
+                continue
+            some.append(i)
+            size += len(line)
+            if size >= _SLICE:
+                yield block(some, plain)
+                some, size = [], 0
+        if some:
+            yield block(some, plain)
+
+
+def _sketches(points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Counts modulo 256 of each line's characters in eight classes, packed; an edit changes at most two of them, by one."""
+    total = np.zeros(len(points) + 1, np.uint64)
+    np.cumsum(_LANES[points & 7], out=total[1:])
+    # Differences of the totals are counts over stretches in which none can pass 255.
+    parts = -(-np.diff(bounds) // 255)
+    first = np.cumsum(parts) - parts
+    starts = np.repeat(bounds[:-1] - 255 * first, parts) + 255 * np.arange(parts.sum())
+    counts = np.diff(total[np.append(starts, bounds[-1])]).view(np.uint8).reshape(-1, 8)
+    return np.add.reduceat(counts, first, axis=0, dtype=np.uint8).view(np.int64).ravel()
+
+
+class _Keys:
+    """The keys of lines, by running totals of a random value a character times a power for its place."""
+
+    def __init__(self, limit: int):
+        self.limit, self.number = limit, {}
+        self.at, self.size, self.rows = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 5), np.int64)
+        self.value, self.power, self.inverse = scattered(np.arange(1 << 16)), powers(BASE, 2 * _SLICE), powers(pow(BASE, -1, 1 << 64), 2 * _SLICE)
+
+    def _planned(self, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``_plan`` for each line, one after the other, as rows of a seed, whether to hash alone, start, end and whether it probes; and each row's line."""
+        lengths, which = np.unique(sizes, return_inverse=True)
+        if new := [n for n in lengths.tolist() if n not in self.number]:
+            made = [np.array([(other * 64 + i, other > _LONG, a, b, probing) for other, i, a, b, probing in _plan(n, self.limit)], np.int64) for n in new]
+            size = np.fromiter(map(len, made), np.int64, len(made))
+            self.number.update(zip(new, range(len(self.size), len(self.size) + len(new)), strict=True))
+            self.at = np.concatenate([self.at, len(self.rows) + np.cumsum(size) - size])
+            rows = np.concatenate(made)
+            rows[:, 0] = scattered(rows[:, 0]).view(np.int64)
+            self.size, self.rows = np.concatenate([self.size, size]), np.concatenate([self.rows, rows])
+        plan = np.array([self.number[n] for n in lengths.tolist()], np.int64)[which]
+        return gathered(self.rows, self.at[plan], self.size[plan]), np.repeat(np.arange(len(sizes)), self.size[plan])
+
+    def __call__(self, points: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(key, line, probing)`` for the lines of a block; keys do not depend on what else is in it."""
+        rows, line = self._planned(np.diff(bounds))
+        seed, alone, a, b, probing = rows.T
+        a, b = bounds[line] + a, bounds[line] + b
+        if not alone.all():
+            total = np.zeros(len(points) + 1, np.uint64)
+            values = self.value[points] if points.dtype == np.uint8 or points.max() < len(self.value) else scattered(points)
+            np.cumsum(values * self.power[: len(points)], out=total[1:])
+            key = (total[b] - total[a]) * self.inverse[a]
+        else:
+            key = np.zeros(len(rows), np.uint64)
+        # Segments of long lines, by the length of the line that is indexed: those that probe for it know it too.
+        for i in np.flatnonzero(alone).tolist():
+            key[i] = xxhash.xxh3_64_intdigest(points[a[i] : b[i]].astype("<u4").tobytes())
+        return key.view(np.int64) ^ seed, line, probing
 
 
 def eligible(text: bytes | None, min_chars: int) -> Iterator[tuple[int, bytes]]:
@@ -123,16 +202,18 @@ def occurrences(docs: DataFrame, min_chars: int = MIN_CHARS, id_col: str = "doc_
     """``(id, tie, line, h, s)``: where each eligible line is, its hash, its sketch. Needs an integer id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            rows, lines, hs, ss = [], [], [], []
+        for batch in slices(batches, "text", _SLICE):
+            rows, numbers, lines = [], [], []
             for row, text in enumerate(blobs(batch.column("text"))):
                 for number, line in eligible(text, min_chars):
                     rows.append(row)
-                    lines.append(number)
-                    hs.append(_name(line))
-                    ss.append(_sketch(line))
+                    numbers.append(number)
+                    lines.append(line)
+            s = np.zeros(len(lines), np.int64)
+            for some, points, bounds in _blocks(lines):
+                s[some] = _sketches(points, bounds)
             take = pa.array(rows, pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column("id").take(take), batch.column("tie").take(take), pa.array(lines, pa.int32()), pa.array(hs, pa.int64()), pa.array(ss, pa.int64())], ["id", "tie", "line", "h", "s"])
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(take), batch.column("tie").take(take), pa.array(numbers, pa.int32()), pa.array(map(_name, lines), pa.int64()), pa.array(s)], ["id", "tie", "line", "h", "s"])
 
     return _located(docs, id_col, text_col).withColumn("id", F.col("id").cast("long")).mapInArrow(run, "id long, tie long, line int, h long, s long")
 
@@ -141,10 +222,9 @@ def _keys(docs: DataFrame, limit: int, min_chars: int, text_col: str) -> DataFra
     """``(key, h, s)`` of each line that a task has not seen of late; odd ``h`` probe."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plans: dict[int, list] = {}
-        seen: set[int] = set()
-        for batch in slices(batches, "text"):
-            keys, hs, ss = [], [], []
+        keys, seen = _Keys(limit), set()
+        for batch in slices(batches, "text", _SLICE):
+            names, lines = [], []
             for text in blobs(batch.column("text")):
                 for _, line in eligible(text, min_chars):
                     h = _name(line)
@@ -153,17 +233,12 @@ def _keys(docs: DataFrame, limit: int, min_chars: int, text_col: str) -> DataFra
                     if len(seen) > _SEEN:
                         seen.clear()
                     seen.add(h)
-                    s, chars = _sketch(line), line if line.isascii() else line.decode("utf-8", "surrogatepass")
-                    n = len(chars)
-                    plan = plans.get(n)
-                    if plan is None:
-                        plan = plans[n] = _plan(n, limit)
-                    for other, i, a, b, probing in plan:
-                        part = chars[a:b] if chars is line else chars[a:b].encode("utf-8", "surrogatepass")
-                        keys.append(xxhash.xxh3_64_intdigest(part, other * 64 + i) - (1 << 63))
-                        hs.append(h + probing)
-                        ss.append(s)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(hs, pa.int64()), pa.array(ss, pa.int64())], ["key", "h", "s"])
+                    names.append(h)
+                    lines.append(line)
+            h = np.array(names, np.int64)
+            for some, points, bounds in _blocks(lines):
+                key, line, probing = keys(points, bounds)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(h[some][line] + probing), pa.array(_sketches(points, bounds)[line])], ["key", "h", "s"])
 
     return docs.select(F.col(text_col).cast("binary").alias("text")).mapInArrow(run, "key long, h long, s long")
 
@@ -264,7 +339,10 @@ def _texts(docs: DataFrame, wanted: DataFrame, min_chars: int, text_col: str) ->
             if len(seen) > _SEEN:
                 seen.clear()
             seen.update(rows)
-            yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int64()), pa.array([_sketch(x) for x in rows.values()], pa.int64()), pa.array(list(rows.values()), pa.binary())], ["h", "s", "line"])
+            lines, s = list(rows.values()), np.zeros(len(rows), np.int64)
+            for some, points, bounds in _blocks(lines):
+                s[some] = _sketches(points, bounds)
+            yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int64()), pa.array(s), pa.array(lines, pa.binary())], ["h", "s", "line"])
 
     lines = docs.select(F.col(text_col).cast("binary").alias("text")).mapInArrow(run, "h long, s long, line binary")
     return lines.join(wanted, ["h", "s"], "left_semi").groupBy("h", "s").agg(F.min("line").alias("line"))

@@ -69,7 +69,7 @@ def whole_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator
 _SEED = np.random.default_rng(20240229)
 #: A random value for each byte, and the powers of a random odd number, low and high, that give any power as a product of two.
 _OF_BYTE = _SEED.integers(0, 1 << 64, 256, np.uint64)
-_BASE = int(_SEED.integers(0, 1 << 63)) << 1 | 1
+BASE = int(_SEED.integers(0, 1 << 63)) << 1 | 1
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -83,7 +83,7 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, bounds - bounds[0]
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
     """The powers 0 to ``n - 1`` of ``base``, modulo 2**64."""
     low = np.full(1024, base, np.uint64)
     low[0] = 1
@@ -97,15 +97,16 @@ def _powers(base: int, n: int) -> np.ndarray:
 def named(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit names of the stretches of ``values``: sums of a random value a byte times a power for its place, from running totals."""
     total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum((_OF_BYTE[values] if values.dtype == np.uint8 else _scattered(values)) * _powers(_BASE, len(values)), out=total[1:])
-    h = (total[ends] - total[starts]) * _powers(pow(_BASE, -1, 1 << 64), len(values) + 1)[starts]
+    np.cumsum((_OF_BYTE[values] if values.dtype == np.uint8 else scattered(values)) * powers(BASE, len(values)), out=total[1:])
+    h = (total[ends] - total[starts]) * powers(pow(BASE, -1, 1 << 64), len(values) + 1)[starts]
     h ^= (ends - starts).astype(np.uint64) * _MIX
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     return h ^ h >> np.uint64(32)
 
 
-def _scattered(values: np.ndarray) -> np.ndarray:
+def scattered(values: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each number."""
     h = (values.astype(np.uint64) + np.uint64(1)) * _MIX
     h ^= h >> np.uint64(31)
     return h * np.uint64(0x94D049BB133111EB)
