@@ -134,3 +134,8 @@ def test_pairs_at_hubs_are_dealt_in_blocks(spark):
     want = sorted([("hub", i, j) for i in range(30) for j in range(i + 1, 30)] + [("two", 1, 5)])
     for block in (3, 7, 1000):
         assert sorted(tuple(r) for r in graph.pairs_at(links, block).collect()) == want
+
+
+def test_rouge_of_pairs_of_stems(spark):
+    df = spark.createDataFrame([(1, "Frames are transmitted slowly", "the frame are transmitting"), (2, "one", "one two"), (3, None, "a b")], "k int, a string, b string")
+    assert dict(pairs(evaluate.rouge_n(df, "k", "a", "b", 2, True), "k", "rouge")) == {1: 0.6667, 2: 0.0, 3: 0.0}
