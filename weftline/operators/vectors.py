@@ -6,14 +6,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
 
-#: Rows of a block that one task compares with another; queries that are broadcast at once; queries that are compared with all rows at most.
-_BLOCK, _QUERIES, _SCANNED = 2048, 4096, 1 << 16
-#: Share of the pairs over a threshold that the index is laid out to meet.
+#: Rows of a block that one task compares with another; queries that are broadcast at once; vectors that are compared with all by broadcasts at most.
+_BLOCK, _QUERIES, _SCANNED = 2048, 4096, 4096
+#: Blocks that vectors are dealt out in at most, before blocks have as many rows as a task holds; rows that are compared with others at once.
+_DEALT, _HELD, _TILE = 16, 1 << 16, (512, 2048)
+#: Share of the pairs over a threshold that the index is laid out to meet. Neighbours do not read the index.
 RECALL = 0.9999
 
 
@@ -32,7 +35,8 @@ def _unit(some: pd.Series) -> np.ndarray:
 
 
 def _plain(vectors: DataFrame, key: str, vector: str, by: list[str]) -> DataFrame:
-    return vectors.filter(F.col(vector).isNotNull()).select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("v"), *by)
+    wide = F.col(vector) if dict(vectors.dtypes)[vector] == "array<float>" else F.col(vector).cast("array<double>")
+    return vectors.filter(F.col(vector).isNotNull()).select(F.col(key).alias("key"), wide.alias("v"), *by)
 
 
 def layout(n: int, least: float, recall: float = RECALL) -> tuple[int, int]:
@@ -130,16 +134,111 @@ def _keys(some: list) -> np.ndarray:
 def nearest(vectors: DataFrame, key: str, vector: str, k: int = 10, least: float = -1.0, queries: DataFrame | None = None) -> DataFrame:
     """``(a, b, cosine, rank)``: the ``k`` nearest others, with at least cosine ``least``, of each vector or of ``queries``; ties to smaller keys.
 
-    Up to ``_SCANNED`` queries are compared with all vectors. Neighbours of all
-    of more vectors come from the index, and so need a positive ``least``.
+    ``queries``, and up to ``_SCANNED`` vectors, are broadcast; more vectors
+    meet in cells, each of which sends the best ``k`` of its rows.
     """
-    asking = vectors if queries is None else queries
-    if queries is not None or least <= 0 or vectors.count() <= _SCANNED:
-        return search(vectors, asking, key, vector, k, least)
-    pairs = similar_pairs(vectors, key, vector, least)
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "cosine"))
+    if queries is not None or vectors.count() <= _SCANNED:
+        return search(vectors, vectors if queries is None else queries, key, vector, k, least)
+
+    def compare(x: _Rows, y: _Rows) -> tuple:
+        there, back = _top(x, y, k, least), _top(y, x, k, least) if x is not y else ()
+        return tuple(map(np.concatenate, zip(there, back, strict=True))) if back else there
+
+    found = _in_cells(vectors, key, vector, [], compare)
     best = Window.partitionBy("a").orderBy(F.desc("cosine"), "b")
-    return both.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+
+
+class _Rows:
+    """Vectors of one length with their keys: unit vectors in single precision to find pairs with, and the numbers by position to check them with."""
+
+    def __init__(self, keys: np.ndarray, v: np.ndarray, group: np.ndarray | None = None):
+        self.keys, self.group = keys, group
+        self.by_position = np.ascontiguousarray(v.T, dtype=np.float64)
+        self.squares = np.zeros(len(v))
+        for row in self.by_position:
+            self.squares += row * row
+        self.unit = (v / np.maximum(np.sqrt(self.squares), 1e-300)[:, None]).astype(np.float32)
+        #: What products in single precision may be off.
+        self.margin = (v.shape[1] + 8) * 2.0**-23
+
+    def cosines(self, i: np.ndarray, other: _Rows, j: np.ndarray) -> np.ndarray:
+        """Cosines of rows ``i`` with rows ``j`` of ``other``, summed by position: the same for the same vectors, wherever they stand."""
+        total = np.zeros(len(i))
+        for p, q in zip(self.by_position, other.by_position, strict=True):
+            total += p[i] * q[j]
+        norm = np.sqrt(self.squares[i] * other.squares[j])
+        return np.clip(np.divide(total, norm, out=np.zeros(len(i)), where=norm > 0), -1, 1)
+
+
+def _met(x: _Rows, y: _Rows, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows of ``x`` and of ``y``, and their cosines in single precision, of pairs that may reach ``least``, tile by tile; within one set a pair comes once."""
+    for at in range(0, len(x.keys), _TILE[0]):
+        for to in range(at if x is y else 0, len(y.keys), _TILE[1]):
+            s = x.unit[at : at + _TILE[0]] @ y.unit[to : to + _TILE[1]].T
+            i, j = np.nonzero(s >= np.float32(least - x.margin))
+            s, i, j = s[i, j], i + at, j + to
+            good = i < j if x is y else slice(None)
+            yield i[good], j[good], s[good]
+
+
+def _top(x: _Rows, y: _Rows, k: int, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(a, b, cosine)``: of each row of ``x`` the ``k`` nearest of ``y`` with another key, exactly, ties to smaller keys."""
+    out = []
+    rank = np.argsort(np.argsort(y.keys, kind="stable"), kind="stable")
+    for at in range(0, len(x.keys), _TILE[0]):
+        part = x.unit[at : at + _TILE[0]]
+        floor = np.full((len(part), 1), least - x.margin, np.float32)
+        held = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        for to in range(0, len(y.keys), _TILE[1]):
+            i, j = np.nonzero(part @ y.unit[to : to + _TILE[1]].T >= floor)
+            j = j + to
+            other = x.keys[at + i] != y.keys[j]
+            i, j = i[other], j[other]
+            cosine = x.cosines(at + i, y, j)
+            good = cosine >= least
+            i, j, cosine = (np.concatenate(both) for both in zip(held, (i[good], j[good], cosine[good]), strict=True))
+            order = np.lexsort((rank[j], -cosine, i))
+            i, j, cosine = i[order], j[order], cosine[order]
+            first = np.searchsorted(i, np.arange(len(part)))
+            place = np.arange(len(i)) - first[i]
+            last = place == k - 1
+            floor[i[last], 0] = np.maximum(floor[i[last], 0], cosine[last] - x.margin)
+            held = i[place < k], j[place < k], cosine[place < k]
+        out.append((x.keys[at + held[0]], y.keys[held[1]], held[2]))
+    return tuple(map(np.concatenate, zip(*out, strict=True))) if out else (x.keys, y.keys[:0], np.zeros(0))
+
+
+def _in_cells(vectors: DataFrame, key: str, vector: str, by: list[str], compare, schema: str | None = None, group: str | None = None) -> DataFrame:
+    """What ``compare(x, y)`` makes of each two blocks of vectors of the same ``by`` and length; all pairs meet, each in one cell. ``x`` is ``y`` where a block meets itself.
+
+    A vector moves once for each block, and blocks are at most ``_DEALT`` in
+    number until they have ``_HELD`` rows, so what moves grows with the vectors
+    up to a million, and a task's memory has a bound at any size.
+    """
+    kind = dict(vectors.dtypes)[key]
+    ways = [*by, "d"]
+    base = _plain(vectors, key, vector, [*by, *[group] * (group is not None)]).withColumn("d", F.size("v")).filter("d > 0")
+    for c in by:
+        base = base.filter(F.col(c).isNotNull())
+    n = F.count("*")
+    blocks = F.greatest(F.least(F.ceil(n / _BLOCK), F.lit(_DEALT)), F.ceil(n / _HELD)).cast("int").alias("k")
+    sizes = base.groupBy(*ways).agg(blocks).filter("k > 1").select(*[F.col(c).alias(f"__wl_{c}") for c in ways], "k")
+    # One row for each ``_BLOCK`` vectors at most.
+    rows = base.join(F.broadcast(sizes), [F.col(c) == F.col(f"__wl_{c}") for c in ways], "left").withColumn("k", F.coalesce("k", F.lit(1)))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("key"), F.col("k")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    rows = rows.select("key", "v", *ways, *[group] * (group is not None), "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+    schema = schema or f"a {kind}, b {kind}, cosine double"
+
+    def run(part: pa.Table) -> pa.Table:
+        flat = part["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        v, keys, own = flat.reshape(part.num_rows, -1), part["key"].to_numpy(), part["own"].to_numpy()
+        names = part[group].to_numpy() if group else None
+        x, y = (_Rows(keys[at], v[at], names[at] if group else None) for at in (np.flatnonzero(own == part[c][0].as_py()) for c in ("x", "y")))
+        made = compare(x, x if part["x"][0] == part["y"][0] else y)
+        return pa.table(list(made), names=[c.split()[0] for c in schema.split(", ")])
+
+    return rows.groupBy(*ways, "x", "y").applyInArrow(run, schema)
 
 
 def similar_pairs(vectors: DataFrame, key: str, vector: str, least: float, by: list[str] | None = None) -> DataFrame:
