@@ -40,3 +40,11 @@ def test_neighbours_move_little(spark, small, some):
         best = [b for b in np.lexsort((np.arange(1200), -s[a]))[:2] if s[a, b] >= 0.3]
         assert [got.get((a, i + 1)) for i in range(len(best))] == best
     assert [got[3, 1], got[3, 2], got[719, 1], got[719, 2]] == [700, 701, 3, 700]
+
+
+def test_all_pairs_meet(spark, small, some):
+    df, s = some
+    got = {(r["a"], r["b"]) for r in vectors.similar_pairs(df, "k", "v", 0.3).collect()}
+    assert got == set(zip(*map(np.ndarray.tolist, np.nonzero(np.triu(s >= 0.3, 1))), strict=True))
+    apart = {(r["a"], r["b"]) for r in vectors.similar_pairs(df, "k", "v", 0.3, ["g"]).collect()}
+    assert apart == {(a, b) for a, b in got if a % 3 == b % 3 and a % 50 and b % 50}

@@ -9,6 +9,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from .components import connected_components
 
@@ -16,7 +18,7 @@ from .components import connected_components
 _BLOCK, _QUERIES, _SCANNED = 2048, 4096, 4096
 #: Blocks that vectors are dealt out in at most, before blocks have as many rows as a task holds; rows that are compared with others at once.
 _DEALT, _HELD, _TILE = 16, 1 << 16, (512, 2048)
-#: Share of the pairs over a threshold that the index is laid out to meet. Neighbours do not read the index.
+#: Share of the pairs over a threshold that the index is laid out to meet. Nothing here reads the index: pairs and neighbours are exact.
 RECALL = 0.9999
 
 
@@ -229,6 +231,7 @@ def _in_cells(vectors: DataFrame, key: str, vector: str, by: list[str], compare,
     rows = rows.withColumn("own", F.pmod(F.xxhash64("key"), F.col("k")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
     rows = rows.select("key", "v", *ways, *[group] * (group is not None), "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
     schema = schema or f"a {kind}, b {kind}, cosine double"
+    types = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(part: pa.Table) -> pa.Table:
         flat = part["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
@@ -236,45 +239,31 @@ def _in_cells(vectors: DataFrame, key: str, vector: str, by: list[str], compare,
         names = part[group].to_numpy() if group else None
         x, y = (_Rows(keys[at], v[at], names[at] if group else None) for at in (np.flatnonzero(own == part[c][0].as_py()) for c in ("x", "y")))
         made = compare(x, x if part["x"][0] == part["y"][0] else y)
-        return pa.table(list(made), names=[c.split()[0] for c in schema.split(", ")])
+        return pa.table([pa.array(c, f.type) for c, f in zip(made, types, strict=True)], types)
 
     return rows.groupBy(*ways, "x", "y").applyInArrow(run, schema)
 
 
-def similar_pairs(vectors: DataFrame, key: str, vector: str, least: float, by: list[str] | None = None) -> DataFrame:
-    """``(a, b, cosine)`` of pairs ``a < b`` with at least cosine ``least``, those of the same ``by`` alone.
+def _ordered(x: _Rows, i: np.ndarray, y: _Rows, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of pairs, the smaller first, and which pairs have two different keys."""
+    a, b = x.keys[i], y.keys[j]
+    turn = (a > b).astype(bool)
+    return np.where(turn, b, a), np.where(turn, a, b), (a != b).astype(bool)
 
-    Vectors meet in the buckets of the index, so a vector is moved once for each
-    table, however many there are; pairs are then checked exactly. Up to four
-    blocks of vectors all pairs meet; beyond, each with probability ``RECALL``
-    or more. Large buckets are dealt out as pairs of blocks.
-    """
-    by = by or []
-    placed = index(vectors, key, vector, least, by)
-    ways = [*by, "d", "t", "bucket"]
-    sizes = placed.groupBy(*ways).agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("k")).filter("k > 1")
-    sizes = sizes.select(*[F.col(c).alias(f"__wl_{c}") for c in ways], "k")
-    rows = placed.join(sizes, [F.col(c).eqNullSafe(F.col(f"__wl_{c}")) for c in ways], "left").withColumn("k", F.coalesce("k", F.lit(1)))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("key"), F.col("k")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    rows = rows.withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other"))
-
-    def compare(part: pd.DataFrame) -> pd.DataFrame:
-        keys, unit, own = part["key"].to_numpy(), _unit(part["v"]), part["own"].to_numpy()
-        across = part["x"].iloc[0] != part["y"].iloc[0]
-        out: list[list] = [[], [], []]
-        for at in range(0, len(unit), 512):
-            s = unit[at : at + 512] @ unit.T
-            good = (s >= least) & (keys[at : at + 512, None] < keys[None, :])
-            if across:
-                good &= own[at : at + 512, None] != own[None, :]
-            i, j = np.nonzero(good)
-            for to, some in zip(out, (keys[at + i], keys[j], s[i, j]), strict=True):
-                to.append(some)
-        return pd.DataFrame({c: np.concatenate(x) for c, x in zip(("a", "b", "cosine"), out, strict=True)})
 
-    kind = dict(vectors.dtypes)[key]
-    found = rows.groupBy(*ways, "x", "y").applyInPandas(compare, f"a {kind}, b {kind}, cosine double")
-    return found.groupBy("a", "b").agg(F.max("cosine").alias("cosine"))
+def similar_pairs(vectors: DataFrame, key: str, vector: str, least: float, by: list[str] | None = None) -> DataFrame:
+    """``(a, b, cosine)`` of all pairs ``a < b`` with at least cosine ``least``, those of the same ``by`` alone."""
+
+    def compare(x: _Rows, y: _Rows) -> tuple:
+        out = []
+        for i, j, _ in _met(x, y, least):
+            cosine = x.cosines(i, y, j)
+            a, b, differ = _ordered(x, i, y, j)
+            good = (cosine >= least) & differ
+            out.append((a[good], b[good], cosine[good]))
+        return tuple(map(np.concatenate, zip(*out, strict=True))) if out else (x.keys[:0], y.keys[:0], np.zeros(0))
+
+    return _in_cells(vectors, key, vector, by or [], compare)
 
 
 def bands(pairs: DataFrame, certain: float = 0.92, uncertain: float = 0.75) -> DataFrame:
