@@ -48,3 +48,13 @@ def test_all_pairs_meet(spark, small, some):
     assert got == set(zip(*map(np.ndarray.tolist, np.nonzero(np.triu(s >= 0.3, 1))), strict=True))
     apart = {(r["a"], r["b"]) for r in vectors.similar_pairs(df, "k", "v", 0.3, ["g"]).collect()}
     assert apart == {(a, b) for a, b in got if a % 3 == b % 3 and a % 50 and b % 50}
+
+
+def test_groups_move_no_pairs(spark, small, some):
+    df, s = some
+    before = moved(spark)
+    got = {(r["a"], r["b"]): r["cosine"] for r in vectors.nearest_groups(df, "k", "v", "g", 0.3).collect()}
+    assert moved(spark) - before < 1200 * 17 + 1000
+    name = np.array(["abc"[i % 3] if i % 50 else "" for i in range(1200)])
+    want = {(a, b): s[np.ix_(name == a, name == b)].max() for a, b in ("ab", "ac", "bc")}
+    assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 1e-12 for p in want)

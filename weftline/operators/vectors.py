@@ -276,3 +276,32 @@ def similar_components(vectors: DataFrame, key: str, vector: str, least: float,
     pairs = similar_pairs(vectors, key, vector, least, by)
     found = connected_components(allowed(pairs) if allowed else pairs, "a", "b")
     return vectors.select(key).join(found.withColumnRenamed("node", key), key, "left").select(key, F.coalesce("component", key).alias("cluster"))
+
+
+def nearest_groups(vectors: DataFrame, key: str, vector: str, group: str, least: float) -> DataFrame:
+    """``(a, b, cosine)``: the largest cosine, of at least ``least``, of vectors of two different groups ``a < b``; rows without a group are left out.
+
+    A cell sends one row for two groups, not their pairs.
+    """
+    kind = dict(vectors.dtypes)[group]
+
+    def compare(x: _Rows, y: _Rows) -> tuple:
+        names = np.unique(np.concatenate([x.group, y.group]))
+        of_x, of_y = np.searchsorted(names, x.group), np.searchsorted(names, y.group)
+        best = np.zeros(0, np.int64), np.zeros(0)
+        for i, j, s in _met(x, y, least):
+            g, h = of_x[i], of_y[j]
+            pair, at = np.unique(np.minimum(g, h) * len(names) + np.maximum(g, h), return_inverse=True)
+            most = np.full(len(pair), -2.0)
+            np.maximum.at(most, at, s)
+            # Only what may be the largest of two groups is computed again.
+            near = np.flatnonzero((s >= most[at] - 2 * x.margin) & (g != h) & (x.keys[i] != y.keys[j]))
+            cosine = x.cosines(i[near], y, j[near])
+            best = np.concatenate([best[0], pair[at[near]][cosine >= least]]), np.concatenate([best[1], cosine[cosine >= least]])
+            order = np.lexsort((-best[1], best[0]))
+            first = order[np.flatnonzero(np.diff(best[0][order], prepend=-1))]
+            best = best[0][first], best[1][first]
+        return names[best[0] // max(1, len(names))], names[best[0] % max(1, len(names))], best[1]
+
+    found = _in_cells(vectors.filter(F.col(group).isNotNull()), key, vector, [], compare, f"a {kind}, b {kind}, cosine double", group)
+    return found.groupBy("a", "b").agg(F.max("cosine").alias("cosine"))

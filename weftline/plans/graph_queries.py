@@ -111,10 +111,9 @@ def embedding_dims(t):
 @query(f"""WITH sim AS (SELECT a.vec_id AS a, b.vec_id AS b, {COS} AS c FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE {COS} >= 0.35)
     SELECT * FROM (SELECT least(x.source, y.source) AS concept_a, greatest(x.source, y.source) AS concept_b, round(max((1 + c) / 2), 6) AS score FROM sim JOIN documents x ON x.doc_id = a JOIN documents y ON y.doc_id = b WHERE x.source <> y.source GROUP BY 1, 2) ORDER BY score DESC, concept_a, concept_b LIMIT 30""")
 def semantic_conflict_candidates(t):
-    sim, named = vectors.similar_pairs(t.embeddings, "vec_id", "embedding", 0.35), t.documents.select("doc_id", "source")
-    x, y = named.toDF("a", "x"), named.toDF("b", "y")
-    pairs = sim.join(x, "a").join(y, "b").filter("x <> y").groupBy(F.least("x", "y").alias("concept_a"), F.greatest("x", "y").alias("concept_b"))
-    return pairs.agg(F.round(F.max(vectors.index_score(F.col("cosine"))), 6).alias("score")).orderBy(F.desc("score"), "concept_a", "concept_b").limit(30)
+    named = t.embeddings.select("vec_id", "embedding").join(t.documents.select(F.col("doc_id").alias("vec_id"), "source"), "vec_id")
+    found = vectors.nearest_groups(named, "vec_id", "embedding", "source", 0.35).select(F.col("a").alias("concept_a"), F.col("b").alias("concept_b"), F.round(vectors.index_score(F.col("cosine")), 6).alias("score"))
+    return found.orderBy(F.desc("score"), "concept_a", "concept_b").limit(30)
 
 
 ALIAS = {"widget": "Component", "bolt": "Fastener", "ring": "Fastener"}
