@@ -58,3 +58,16 @@ def test_groups_move_no_pairs(spark, small, some):
     name = np.array(["abc"[i % 3] if i % 50 else "" for i in range(1200)])
     want = {(a, b): s[np.ix_(name == a, name == b)].max() for a, b in ("ab", "ac", "bc")}
     assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 1e-12 for p in want)
+
+
+def test_components_move_forests(spark, small, some):
+    df, s = some
+    before = moved(spark)
+    got = {r["k"]: r["cluster"] for r in vectors.similar_components(df, "k", "v", 0.5, ["g"]).collect()}
+    assert moved(spark) - before < 1200 * 16 * 5
+    want = np.arange(1200)
+    key = np.arange(1200)
+    linked = (s >= 0.5) & (key[:, None] % 3 == key % 3) & (key[:, None] % 50 > 0) & (key % 50 > 0)
+    for _ in range(40):
+        want = np.minimum(want, np.where(linked, want[None, :], 1200).min(axis=1))
+    assert got == dict(enumerate(want.tolist()))

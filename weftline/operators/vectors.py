@@ -184,6 +184,15 @@ def _met(x: _Rows, y: _Rows, least: float) -> Iterator[tuple[np.ndarray, np.ndar
             yield i[good], j[good], s[good]
 
 
+def _over(x: _Rows, y: _Rows, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of pairs that do reach ``least``; only those near it are computed again."""
+    for i, j, s in _met(x, y, least):
+        good = s >= least + x.margin
+        near = np.flatnonzero(~good)
+        good[near] = x.cosines(i[near], y, j[near]) >= least
+        yield i[good], j[good]
+
+
 def _top(x: _Rows, y: _Rows, k: int, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(a, b, cosine)``: of each row of ``x`` the ``k`` nearest of ``y`` with another key, exactly, ties to smaller keys."""
     out = []
@@ -271,10 +280,36 @@ def bands(pairs: DataFrame, certain: float = 0.92, uncertain: float = 0.75) -> D
     return pairs.withColumn("band", F.when(F.col("cosine") >= certain, "certain").when(F.col("cosine") >= uncertain, "uncertain").otherwise("apart"))
 
 
+def _joined(component: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Makes the components, each named by its smallest row, of rows ``i`` and ``j`` one."""
+    while True:
+        a, b = component[i], component[j]
+        apart = a != b
+        if not apart.any():
+            return
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        np.minimum.at(component, np.maximum(a, b), np.minimum(a, b))
+        while (component != (up := component[component])).any():
+            component[:] = up
+
+
 def similar_components(vectors: DataFrame, key: str, vector: str, least: float, by: list[str] | None = None, allowed=None) -> DataFrame:
-    """``(key, cluster)`` of every vector: its component under pairs of at least ``least``; ``allowed`` may take pairs ``(a, b, cosine)`` out, as a guard of antonyms does."""
-    pairs = similar_pairs(vectors, key, vector, least, by)
-    found = connected_components(allowed(pairs) if allowed else pairs, "a", "b")
+    """``(key, cluster)`` of every vector: its component under pairs of at least ``least``; ``allowed`` may take pairs ``(a, b, cosine)`` out, as a guard of antonyms does.
+
+    Without ``allowed`` a cell sends a forest of its rows, not their pairs.
+    """
+    kind = dict(vectors.dtypes)[key]
+
+    def forest(x: _Rows, y: _Rows) -> tuple:
+        keys = x.keys if x is y else np.concatenate([x.keys, y.keys])
+        component, after = np.arange(len(keys)), 0 if x is y else len(x.keys)
+        for i, j in _over(x, y, least):
+            _joined(component, i, j + after)
+        linked = np.flatnonzero(component != np.arange(len(keys)))
+        return keys[linked], keys[component[linked]]
+
+    pairs = allowed(similar_pairs(vectors, key, vector, least, by)) if allowed else _in_cells(vectors, key, vector, by or [], forest, f"a {kind}, b {kind}")
+    found = connected_components(pairs, "a", "b")
     return vectors.select(key).join(found.withColumnRenamed("node", key), key, "left").select(key, F.coalesce("component", key).alias("cluster"))
 
 
