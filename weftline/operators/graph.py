@@ -122,17 +122,15 @@ def severity(score: Column) -> Column:
     return F.when(score >= 0.7, "critical").when(score >= 0.4, "major").otherwise("minor")
 
 
-def trails(edges: DataFrame, seeds: DataFrame, max_hops: int = 3, enough: tuple[DataFrame, DataFrame, int] | None = None) -> DataFrame:
-    """``(seed, node, hops, via)``: one row for each trail of up to ``max_hops`` edges, taken both ways, none twice; ``via`` has their types.
-
-    With ``enough``, ``(owners (question_id, id), wanted (node), limit)``, seeds
-    all of whose owners have met ``limit`` wanted nodes are not followed further,
-    as shorter trails come first.
-    """
+def _both_ways(edges: DataFrame) -> DataFrame:
+    """``(src, dst, type, e)``: edges once each, taken both ways, with what names them."""
     numbered = edges.select("src", "dst", "type").distinct().withColumn("e", F.concat_ws("\x1f", "src", "dst", "type"))
-    both = numbered.select("src", "dst", "type", "e").union(numbered.filter("src <> dst").select(F.col("dst").alias("src"), F.col("src").alias("dst"), "type", "e"))
-    both = written(both, "edges")
-    none = F.array().cast("array<string>")
+    return written(numbered.select("src", "dst", "type", "e").union(numbered.filter("src <> dst").select(F.col("dst").alias("src"), F.col("src").alias("dst"), "type", "e")), "edges")
+
+
+def trails(edges: DataFrame, seeds: DataFrame, max_hops: int = 3) -> DataFrame:
+    """``(seed, node, hops, via)``: one row for each trail of up to ``max_hops`` edges, taken both ways, none twice; ``via`` has their types."""
+    both, none = _both_ways(edges), F.array().cast("array<string>")
     front = seeds.select(F.col("id").alias("seed"), F.col("id").alias("node"), none.alias("used"), none.alias("via")).distinct()
     out = None
     for hop in range(1, max_hops + 1):
@@ -140,15 +138,51 @@ def trails(edges: DataFrame, seeds: DataFrame, max_hops: int = 3, enough: tuple[
         front = written(step.select("seed", F.col("dst").alias("node"), F.array_append("used", F.col("e")).alias("used"), F.array_append("via", F.col("type")).alias("via")), "trails")
         part = front.select("seed", "node", F.lit(hop).alias("hops"), "via")
         out = part if out is None else out.union(part)
-        if enough is not None and hop < max_hops:
-            owners, wanted, limit = enough
-            met = out.join(wanted, "node", "left_semi").groupBy("seed").agg(F.count("*").alias("n"))
-            full = owners.withColumnRenamed("id", "seed").join(met, "seed", "left").groupBy("question_id").agg(F.sum(F.coalesce("n", F.lit(0))).alias("n"))
-            open_ = owners.join(full.filter(F.col("n") < limit), "question_id", "left_semi").select(F.col("id").alias("seed")).distinct()
-            front = front.join(open_, "seed", "left_semi")
     return out
 
 
+def first_trails(edges: DataFrame, seeds: DataFrame, wanted: DataFrame, limit: int, max_hops: int = 3, slack: int = 64) -> DataFrame:
+    """``(seed, node, hops, via)``: as ``trails``, but of each seed and number of hops only the first ``limit`` that end in a ``wanted (node)``, by node and types.
+
+    Trails are made from their end: a node keeps the first of its own, and the
+    nodes before it add an edge to those. So a hub's are made once, not for each
+    seed, and no more are kept than edges times ``limit``. Each node keeps
+    ``slack`` more than the nodes before it need, since those leave out trails
+    that have their edge already; where more are left out, all is done again with
+    a larger slack.
+    """
+    both = _both_ways(edges)
+    near = [seeds.select(F.col("id").alias("src")).distinct()]
+    for _ in range(max_hops - 2):
+        near.append(written(near[-1].union(near[-1].join(both, "src").select(F.col("dst").alias("src"))).distinct(), "near"))
+    ends = both.join(wanted.select(F.col("node").alias("dst")).distinct(), "dst", "left_semi")
+    while True:
+        now, out, enough = None, None, True
+        for hop in range(1, max_hops + 1):
+            keep = limit + slack * (max_hops - hop)
+            if now is None:
+                step = ends.select("src", F.col("dst").alias("node"), F.array("e").alias("used"), F.array("type").alias("via"))
+            else:
+                some = both.join(near[max_hops - hop], "src", "left_semi").withColumnRenamed("dst", "at")
+                step = some.join(now.withColumnRenamed("src", "at"), "at")
+                lost = step.filter(F.array_contains("used", F.col("e"))).groupBy("src", "e").agg(F.count("*").alias("n")).filter(F.col("n") > slack)
+                if not lost.isEmpty():
+                    enough = False
+                    break
+                step = step.filter(~F.array_contains("used", F.col("e")))
+                step = step.select("src", "node", F.array_prepend("used", F.col("e")).alias("used"), F.array_prepend("via", F.col("type")).alias("via"))
+            order = Window.partitionBy("src").orderBy("node", F.concat_ws(",", "via"), "used")
+            now = written(step.withColumn("__wl_n", F.row_number().over(order)).filter(F.col("__wl_n") <= keep).drop("__wl_n"), "trails")
+            of = now.join(near[0], "src", "left_semi")
+            if keep > limit:
+                of = of.withColumn("__wl_n", F.row_number().over(order)).filter(F.col("__wl_n") <= limit)
+            part = of.select(F.col("src").alias("seed"), "node", F.lit(hop).alias("hops"), "via")
+            out = part if out is None else out.union(part)
+        if enough:
+            return out
+        slack *= 4
+
+
 def audit(nodes: DataFrame, edges: DataFrame, checks: dict[str, Column]) -> DataFrame:
     """``(check, n)``: how many nodes are isolated, and how many meet each condition; one pass for all conditions."""
     counted = nodes.agg(*[F.count_if(c).alias(k) for k, c in checks.items()])

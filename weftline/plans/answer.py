@@ -51,13 +51,13 @@ def expand(nodes: DataFrame, edges: DataFrame, starts: DataFrame, k: int = TOP,
 
     Trails of up to ``hops`` edges lead from a question's chunks to named nodes
     of some labels; of each question the ``k * hops * 20`` shortest count, ties
-    by seed, node and types. A question that has as many goes no further.
+    by seed, node and types. As many of each chunk and number of hops are made.
     """
     limit = k * hops * 20
     related = nodes.filter(F.col("label").isin(*labels) & F.col("name").isNotNull()).select(F.col("id").alias("node"), "label", "name", F.substring(described(*[c for c in ("definition", "description", "text") if c in nodes.columns]), 1, 400).alias("description"))
     begun = starts.select("question_id", F.col("chunk_id").cast("string").alias("id"))
-    found = graph.trails(edges, begun.select("id").distinct(), hops, enough=(begun, related.select("node"), limit))
-    met = begun.withColumnRenamed("id", "seed").join(found, "seed").join(related.select("node"), "node", "left_semi")
+    found = graph.first_trails(edges, begun.select("id"), related.select("node"), limit, hops)
+    met = begun.withColumnRenamed("id", "seed").join(found, "seed")
     order = Window.partitionBy("question_id").orderBy("hops", "seed", "node", F.concat_ws(",", "via"))
     steps = written(met.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= limit).select("question_id", "seed", "node", "via", "hops"), "paths")
     once = steps.groupBy("question_id", "node").agg(F.min("hops").alias("hops"))
