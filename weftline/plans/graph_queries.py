@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import graph, harvest, resolve, vectors
+from ..session import pieces
 from .catalog import query
 
 HREF = r'href="/([^"]+)"'
@@ -213,8 +214,11 @@ def dedup_edges(t):
     rest AS (SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey NOT IN (SELECT chunk FROM direct)) SELECT chunk, CAST(module AS BIGINT) AS module, 'direct' AS method FROM direct UNION ALL SELECT o_orderkey, CAST(c_nationkey AS BIGINT), 'fallback' FROM rest JOIN customer ON o_custkey = c_custkey""")
 def sourced_from(t):
     line = t.lineitem.select(F.col("l_orderkey").alias("chunk"), "l_suppkey")
-    direct = line.join(t.orders.select(F.col("o_orderkey").alias("chunk")), "chunk", "left_semi").join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select("chunk", F.col("s_nationkey").cast("long").alias("module")).distinct()
-    rest = t.orders.select(F.col("o_orderkey").alias("chunk"), "o_custkey").join(direct, "chunk", "left_anti")
+    n = pieces(line)
+    module = line.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select("chunk", F.col("s_nationkey").cast("long").alias("module"))
+    orders = t.orders.select(F.col("o_orderkey").alias("chunk"), "o_custkey").repartition(n, "chunk")
+    direct = module.repartition(n, "chunk").distinct().join(orders.select("chunk"), "chunk", "left_semi")
+    rest = orders.join(direct, "chunk", "left_anti")
     fallback = rest.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("chunk", F.col("c_nationkey").cast("long").alias("module"))
     return direct.withColumn("method", F.lit("direct")).unionByName(fallback.withColumn("method", F.lit("fallback")))
 

@@ -115,6 +115,18 @@ def spread(df: DataFrame, each: int = 4 << 20) -> DataFrame:
     return df.repartition(cores) if table_bytes(df) < each * cores else df
 
 
+def pieces(df: DataFrame, each: int = 8 << 20) -> int:
+    """How many parts to deal the rows of ``df`` out in, so that one has about ``each`` bytes of its tables as stored, and no fewer than shuffles have.
+
+    Adaptive execution puts parts together up to a size as shuffled, and sorts and
+    maps of narrow rows take twenty times that; a number of parts it leaves alone.
+    What has no stored size, as rows of the driver, does not count.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return max(width(df.sparkSession), -(-sum(x for x in sizes if x < 1 << 50) // each))
+
+
 def width(spark: SparkSession) -> int:
     """The number of partitions that shuffles are set to."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
