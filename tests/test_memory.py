@@ -1,8 +1,10 @@
 """What one task holds, and what is read and moved, in queries over large tables."""
 
 from pyspark.sql import functions as F
+from test_cells import moved
 
 from weftline import session
+from weftline.operators import graph
 from weftline.plans.all_queries import QUERIES
 
 
@@ -41,6 +43,19 @@ def test_sourced_from_is_dealt_out(spark, tmp_path):
     assert len(got) == len(want) and {tuple(r) for r in got} == want
 
 
+def test_audit_moves_each_end_once(spark):
+    edges = spark.range(3000).select(F.concat(F.lit("m"), F.col("id").cast("string")).alias("src"), F.concat(F.lit("r"), F.col("id").cast("string")).alias("dst"), F.lit("HAS_REQUIREMENT").alias("type"))
+    rows = [("m1", "Module", None, 1), ("m9999", "Module", None, 1), ("r1", "Requirement", "x", None), ("c1", "Chunk", "x", 1), ("c1", "Chunk", "x", 1), (None, "Chunk", "x", 1), ("d1", "Document", None, 1)]
+    nodes = spark.createDataFrame(rows, "id string, label string, text string, confidence_score int").withColumn("ingested_at", F.col("confidence_score"))
+    before = moved(spark)
+    got = {r["check"]: r["n"] for r in graph.full_audit(nodes, edges).collect()}
+    assert moved(spark) - before < 7000
+    assert got == {
+        "isolated": 4, "module_without_requirement": 1, "chunk_without_document": 3, "chunk_without_module": 3, "requirement_without_text": 0,
+        "chunk_without_embedding": 3, "requirement_without_ingested_at": 1, "requirement_without_confidence": 1,
+    }
+
+
 def test_pieces_follow_the_table(spark, tmp_path):
     spark.range(100_000).write.parquet(f"{tmp_path}/t")
     df = spark.read.parquet(f"{tmp_path}/t")

@@ -197,23 +197,28 @@ def merge_counts(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def full_audit(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """``(check, n)`` of a stored graph: the eight audits, each by an aggregate or an anti-join; documents may be isolated."""
-    of = lambda label: nodes.filter(F.col("label") == label)
-    ends = lambda end, kind: edges.filter(F.col("type") == kind).select(F.col(end).alias("id"))
+    """``(check, n)`` of a stored graph: the eight audits, by two aggregations; edges may repeat, and documents be isolated."""
     none = lambda c: F.col(c).isNull() if c in nodes.columns else F.lit(True)
-    apart = {
-        "isolated": isolated(nodes.filter("label <> 'Document'"), edges), "module_without_requirement": of("Module").join(ends("src", "HAS_REQUIREMENT"), "id", "left_anti"),
-        "chunk_without_document": of("Chunk").join(ends("dst", "HAS_CHUNK"), "id", "left_anti"), "chunk_without_module": of("Chunk").join(ends("src", "SOURCED_FROM"), "id", "left_anti"),
-    }
     requirement, chunk = F.col("label") == "Requirement", F.col("label") == "Chunk"
     counted = nodes.agg(
         F.count_if(requirement & (F.coalesce("text", F.lit("")) == "")).alias("requirement_without_text"), F.count_if(chunk & none("embedding")).alias("chunk_without_embedding"),
         F.count_if(requirement & none("ingested_at")).alias("requirement_without_ingested_at"), F.count_if(requirement & none("confidence_score")).alias("requirement_without_confidence"),
     )
-    out = counted.select(F.explode(F.array(*[F.struct(F.lit(k).alias("check"), F.col(k).alias("n")) for k in counted.columns])).alias("x")).select("x.*")
-    for name, rows in apart.items():
-        out = out.unionByName(rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("check"), "n"))
-    return out
+    # What is asked of the nodes of each name, and the ends that answer it: a bit each, so nodes and ends meet in one aggregation.
+    asked = {"isolated": F.col("label") != "Document", "module_without_requirement": F.col("label") == "Module", "chunk_without_document": chunk, "chunk_without_module": chunk}
+    bits = lambda *conditions: F.array(*[F.when(c, 1).otherwise(0) for c in conditions])
+    kind = F.col("type")
+    ends = edges.select(F.explode(F.array(
+        F.struct(F.col("src").cast("string").alias("id"), bits(F.lit(True), kind == "HAS_REQUIREMENT", F.lit(False), kind == "SOURCED_FROM").alias("met")),
+        F.struct(F.col("dst").cast("string").alias("id"), bits(F.lit(True), F.lit(False), kind == "HAS_CHUNK", F.lit(False)).alias("met")),
+    )).alias("x")).select("x.*").filter("id IS NOT NULL")
+    zero, checks = F.lit(0), list(enumerate(asked))
+    ends = ends.select("id", *[zero.cast("long").alias(f"n{i}") for i, _ in checks], *[F.col("met")[i].alias(f"m{i}") for i, _ in checks])
+    rows = nodes.select(F.col("id").cast("string").alias("id"), *[F.when(c, 1).otherwise(0).cast("long").alias(f"n{i}") for i, c in enumerate(asked.values())], *[zero.alias(f"m{i}") for i, _ in checks])
+    each = ends.unionByName(rows).groupBy("id").agg(*[F.sum(f"n{i}").alias(f"n{i}") for i, _ in checks], *[F.max(f"m{i}").alias(f"m{i}") for i, _ in checks])
+    apart = each.agg(*[F.coalesce(F.sum(F.when(F.col(f"m{i}") == 0, F.col(f"n{i}"))), zero.cast("long")).alias(c) for i, c in checks])
+    stacked = [d.select(F.explode(F.array(*[F.struct(F.lit(c).alias("check"), F.col(c).alias("n")) for c in d.columns])).alias("x")).select("x.*") for d in (counted, apart)]
+    return stacked[0].unionByName(stacked[1])
 
 
 def sample_queries(nodes: DataFrame, edges: DataFrame, least: float = 0.70, paths: int = 20) -> dict[str, DataFrame]:

@@ -114,7 +114,7 @@ def _store(t):
     nodes = nodes.unionByName(t.customer.select(name("d", "c_custkey").alias("id"), F.lit("Document").alias("label"), nothing.alias("text"), one.alias("confidence_score"))).withColumn("ingested_at", F.col("confidence_score"))
     edges = t.lineitem.filter("l_suppkey % 3 > 0").select(name("m", "l_suppkey").alias("src"), name("r", "l_partkey").alias("dst"), F.lit("HAS_REQUIREMENT").alias("type"))
     edges = edges.unionByName(t.orders.filter("o_orderkey % 3 > 0").select(name("d", "o_custkey").alias("src"), name("c", "o_orderkey").alias("dst"), F.lit("HAS_CHUNK").alias("type")))
-    return nodes, edges.unionByName(t.lineitem.filter("l_quantity > 20").select(name("c", "l_orderkey").alias("src"), name("m", "l_suppkey").alias("dst"), F.lit("SOURCED_FROM").alias("type"))).distinct()
+    return nodes, edges.unionByName(t.lineitem.filter("l_quantity > 20").select(name("c", "l_orderkey").alias("src"), name("m", "l_suppkey").alias("dst"), F.lit("SOURCED_FROM").alias("type")))
 
 
 @query(f"""WITH {STORE} SELECT 'isolated' AS "check", count(*) AS n FROM n WHERE label <> 'Document' AND id NOT IN (SELECT src FROM e) AND id NOT IN (SELECT dst FROM e)
@@ -128,7 +128,7 @@ def store_audit(t):
 
 @query(f"""WITH {STORE} SELECT c, m, count(*) AS paths FROM (SELECT a.src AS c, a.dst AS m, b.dst AS r FROM e a JOIN e b ON a.dst = b.src WHERE a.type = 'SOURCED_FROM' AND b.type = 'HAS_REQUIREMENT') GROUP BY ALL ORDER BY paths DESC, c, m LIMIT 100""")
 def store_paths(t):
-    edges = _store(t)[1]
+    edges = _store(t)[1].distinct()
     out = edges.filter("type = 'HAS_REQUIREMENT'").groupBy(F.col("src").alias("m")).agg(F.count("*").alias("paths"))
     return edges.filter("type = 'SOURCED_FROM'").select(F.col("src").alias("c"), F.col("dst").alias("m")).join(out, "m").select("c", "m", "paths").orderBy(F.desc("paths"), "c", "m").limit(100)
 
