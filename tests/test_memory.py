@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from test_cells import moved
 
 from weftline import session
-from weftline.operators import graph
+from weftline.operators import extract, graph
 from weftline.plans.all_queries import QUERIES
 
 
@@ -56,6 +56,16 @@ def test_audit_moves_each_end_once(spark):
     }
 
 
+def test_gazetteer_deals_texts_out(spark, tmp_path):
+    spark.range(4000).select(F.col("id").alias("k"), F.lit("Red bolt and ring").alias("t")).write.parquet(f"{tmp_path}/t")
+    texts = spark.read.parquet(f"{tmp_path}/t")
+    names = texts.select(F.element_at(F.split("t", " "), 2).alias("name")).union(texts.select(F.lower("t"))).distinct().withColumn("label", F.lit("C"))
+    found = extract.gazetteer(texts, "k", "t", names)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
+    assert found.groupBy("name").count().collect() and found.count() == 8000
+
+
 def test_pieces_follow_the_table(spark, tmp_path):
     spark.range(100_000).write.parquet(f"{tmp_path}/t")
     df = spark.read.parquet(f"{tmp_path}/t")

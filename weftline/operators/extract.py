@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import once
+from ..session import pieces, table_bytes, written
 
 #: Words of the longest name that a list of names is looked up with.
 LONGEST = 4
+#: Bytes of a list of names, as stored, that is broadcast.
+_LIST = 4 << 20
 NAME_WORD = r"[\p{L}\p{N}_]+"
 TERM = r"(?m)^\s*[*#-]*\s*\**([\p{Lu}][\p{L}\p{N} _/-]{1,60}?)\**\s*(?::|[–—]|\s-)\s+(\S.{9,})$"
 STRUCTURAL = ("glossary", "bibliography", "requirement_chunk", "constraint_chunk")
@@ -31,11 +34,16 @@ def gazetteer(texts: DataFrame, key: str, text: str, names: DataFrame, longest:
     """``(key, name, label)``: the names of ``names (name, label)`` that a text has as whole words, in any case.
 
     Texts give their word runs, and an equi-join finds those that are names: the
-    list may be of any size. A name of more than ``longest`` words is never found.
+    list may be of any size, and is broadcast up to ``_LIST`` bytes. A name of
+    more than ``longest`` words is never found.
     """
     known = names.select("name", "label", F.array_join(F.regexp_extract_all(F.lower("name"), F.lit(NAME_WORD), F.lit(0)), " ").alias("run")).filter("run <> ''")
+    known = written(known.distinct(), "names")
     runs = texts.select(key, F.explode(word_runs(F.col(text), longest)).alias("run"))
-    return runs.join(known, "run").select(key, "name", "label").distinct()
+    # Runs are many more than their texts' size lets Spark think, so they are never the side to broadcast.
+    met = runs.join(F.broadcast(known), "run") if table_bytes(known) <= _LIST else runs.hint("merge").join(known, "run")
+    # Dealt out by text before repeats are dropped, so no task holds those of many texts.
+    return met.select(key, "name", "label").repartition(pieces(texts.select(key, text)), key).distinct()
 
 
 def glossary_terms(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
