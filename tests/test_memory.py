@@ -66,6 +66,13 @@ def test_gazetteer_deals_texts_out(spark, tmp_path):
     assert found.groupBy("name").count().collect() and found.count() == 8000
 
 
+def test_dangling_keeps_and_moves(spark):
+    edges = spark.createDataFrame([("a", "b", None), ("a", "q", "T"), ("q", "a", "T"), (None, "a", "T"), ("a", "b", "T")], "src string, dst string, type string")
+    nodes = spark.createDataFrame([("a",), ("b",), ("b",)], "id string")
+    got = sorted((str(r["src"]), r["dst"], str(r["type"])) for r in graph.dangling(edges, nodes).collect())
+    assert got == [("None", "a", "T"), ("a", "q", "T"), ("q", "a", "T")]
+
+
 def test_pieces_follow_the_table(spark, tmp_path):
     spark.range(100_000).write.parquet(f"{tmp_path}/t")
     df = spark.read.parquet(f"{tmp_path}/t")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import pieces, written
 
 # What an edge type weighs in an impact, and the weight of others.
 EDGE_WEIGHTS = {"MENTIONS": 0.2, "SIMILAR_TO": 0.3, "SOURCED_FROM": 0.4, "HYPOTHESIZES": 0.4, "REFERENCES": 0.6, "HAS_PARAMETER": 0.6, "HAS_REQUIREMENT": 0.8, "DEPENDS_ON": 0.9, "CONTRADICTS": 1.0}
@@ -37,9 +37,11 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], nulls_remove: bool =
 
 def dangling(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edges of which an end is no node."""
-    ids = nodes.select("id")
-    whole = edges.join(ids.withColumnRenamed("id", "src"), "src", "left_semi").join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi")
-    return edges.join(whole.select("src", "dst", "type"), ["src", "dst", "type"], "left_anti")
+    ids, n = nodes.select("id").distinct(), pieces(edges)
+    out = edges
+    for end in ("src", "dst"):
+        out = out.repartition(n, end).join(ids.select(F.col("id").alias(end), F.lit(True).alias(f"__wl_{end}")), end, "left")
+    return out.filter(F.col("__wl_src").isNull() | F.col("__wl_dst").isNull()).select(*edges.columns)
 
 
 def isolated(nodes: DataFrame, edges: DataFrame) -> DataFrame:

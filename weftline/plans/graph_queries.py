@@ -194,8 +194,9 @@ def graph_audit(t):
 
 @query("SELECT DISTINCT l_suppkey AS src, l_partkey AS dst, l_returnflag AS type FROM lineitem WHERE NOT (l_suppkey IN (SELECT p_partkey FROM part WHERE p_size > 5) AND l_partkey IN (SELECT p_partkey FROM part WHERE p_size > 5))")
 def dangling_edges(t):
-    edges = t.lineitem.select(F.col("l_suppkey").alias("src"), F.col("l_partkey").alias("dst"), F.col("l_returnflag").alias("type")).distinct()
-    return graph.dangling(edges, t.part.filter("p_size > 5").select(F.col("p_partkey").alias("id")))
+    edges = t.lineitem.select(F.col("l_suppkey").alias("src"), F.col("l_partkey").alias("dst"), F.col("l_returnflag").alias("type"))
+    found = graph.dangling(edges, t.part.filter("p_size > 5").select(F.col("p_partkey").alias("id")))
+    return found.repartition(pieces(edges), "src", "dst").distinct()
 
 
 @query("""SELECT src, dst, quantity, line FROM (SELECT l_suppkey AS src, l_partkey AS dst, l_quantity AS quantity, l_linenumber AS line, row_number() OVER (PARTITION BY l_suppkey, l_partkey ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) AS n FROM lineitem) WHERE n = 1""")
